@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.llm import extract, residue
+from docstrata.llm import extract, prose, residue
 from docstrata.runtime import table
 
 
@@ -38,5 +38,15 @@ def p5_text(spark: SparkSession, d: str) -> DataFrame:
     return extract.converted(table(spark, d, "raw_docs").select("raw_id", "body"), "body").select("raw_id", "clean_text")
 
 
-QUERIES = {q.__name__: q for q in (p2_found, p2_clean_docs, p2_clean_lists, p5_found, p5_text)}
+def p8_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics, outlier score and verdict of every document with a text."""
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return prose.scored_documents(docs, "doc_id", "text", "lang", table(spark, d, "common_words"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return prose.not_prose(p8_stats(spark, d)).select("doc_id")
+
+
+QUERIES = {q.__name__: q for q in (p2_found, p2_clean_docs, p2_clean_lists, p5_found, p5_text, p8_found, p8_stats)}
 SQL: dict[str, str] = {}
