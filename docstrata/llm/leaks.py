@@ -15,7 +15,6 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -212,42 +211,45 @@ def _item_blocks(items: DataFrame, key: str, text: str) -> list[list[tuple[int,
     return [rows[a : a + BLOCK] for a in range(0, len(rows), BLOCK)]
 
 
+def _seen_udf(index):
+    @F.pandas_udf(ArrayType(LongType()))
+    def seen(texts: pd.Series) -> pd.Series:
+        split = [words(t) if t else [] for t in texts]
+        hits = _hits(split, index.value, None)
+        return pd.Series([list({x for _, x in hits[o]}) if o in hits else None for o in range(len(split))], dtype=object)
+
+    return seen
+
+
+def _found_udf(index, wanted):
+    @F.pandas_udf(ArrayType(LongType()))
+    def found(texts: pd.Series) -> pd.Series:
+        own = index.value
+        shortest = (1 - EDIT_SHARE) * min(PASSAGE, min(map(len, own.items), default=0))
+        split = [words(t) if t else [] for t in texts]
+        candidates = [o for o in sorted(_hits(split, own, wanted.value)) if len(split[o]) >= shortest]
+        rows: list = [None] * len(split)
+        again = _hits([split[o] for o in candidates], own, None)
+        for n, o in enumerate(candidates):
+            if ks := leaked_items(split[o], again.get(n, []), own):
+                rows[o] = [own.ids[k] for k in sorted(ks)]
+        return pd.Series(rows, dtype=object)
+
+    return found
+
+
 def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """(key, item_key): documents that contain an item's text or a passage of it.
 
     Null and empty texts contain nothing, items of fewer than five words are in no document; repeated rows repeat. items
     is a held-out set: its texts must fit the driver (a million items of 100 words are about 1 GB).
     """
-    spark, results = docs.sparkSession, []
+    spark = docs.sparkSession
+    whole = docs.select(key, F.lit(None).cast("long").alias(item_key)).where("false")
     for block in _item_blocks(items, item_key, item_text):
         index = spark.sparkContext.broadcast(Index.of(block))
-
-        @F.pandas_udf(ArrayType(LongType()))
-        def seen(texts: pd.Series, index=index) -> pd.Series:
-            split = [words(t) if t else [] for t in texts]
-            hits = _hits(split, index.value, None)
-            return pd.Series([list({x for _, x in hits[o]}) if o in hits else None for o in range(len(split))], dtype=object)
-
-        counts = docs.select(F.explode(seen(text)).alias("h")).groupBy("h").count()
-        frequency = Counter({r[0]: r[1] for r in counts.toLocalIterator()})  # at most one entry per item shingle
+        counts = docs.select(F.explode(_seen_udf(index)(text)).alias("h")).groupBy("h").count()
+        frequency = {r[0]: r[1] for r in counts.toLocalIterator()}  # at most one entry per item shingle
         wanted = spark.sparkContext.broadcast(index.value.prefix(frequency))
-
-        @F.pandas_udf(ArrayType(LongType()))
-        def found(texts: pd.Series, index=index, wanted=wanted) -> pd.Series:
-            own = index.value
-            split = [words(t) if t else [] for t in texts]
-            candidates = sorted(_hits(split, own, wanted.value))
-            rows: list = [None] * len(split)
-            again = _hits([split[o] for o in candidates], own, None)
-            for n, o in enumerate(candidates):
-                if len(split[o]) >= (1 - EDIT_SHARE) * min(PASSAGE, min(map(len, own.items), default=0)) and (ks := leaked_items(split[o], again.get(n, []), own)):
-                    rows[o] = [own.ids[k] for k in sorted(ks)]
-            return pd.Series(rows, dtype=object)
-
-        results.append(docs.select(key, F.explode(found(text)).alias(item_key)))
-    if not results:
-        return docs.select(key, F.lit(None).cast("long").alias(item_key)).where("false")
-    whole = results[0]
-    for r in results[1:]:
-        whole = whole.unionByName(r)
+        whole = whole.unionByName(docs.select(key, F.explode(_found_udf(index, wanted)(text)).alias(item_key)))
     return whole

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.llm import extract, prose, residue
+from docstrata.llm import extract, leaks, packing, prose, residue
 from docstrata.runtime import table
 
 
@@ -38,6 +38,27 @@ def p5_text(spark: SparkSession, d: str) -> DataFrame:
     return extract.converted(table(spark, d, "raw_docs").select("raw_id", "body"), "body").select("raw_id", "clean_text")
 
 
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    windows = [(r[0], r[1]) for r in table(spark, d, "pack_windows").select("window_id", "capacity").orderBy("window_id").limit(1000).collect()]
+    return packing.packed(table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text", windows)
+
+
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return packing.fill(p6_containers(spark, d), table(spark, d, "pack_windows"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    docs, items = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items").select("item_id", "text")
+    return leaks.leaks(docs, "doc_id", "text", items, "item_id", "text")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents contain each item that leaked, by suite."""
+    found = p7_found(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"))
+    return found.join(table(spark, d, "eval_items").select("item_id", "suite"), "item_id")
+
+
 def p8_stats(spark: SparkSession, d: str) -> DataFrame:
     """Statistics, outlier score and verdict of every document with a text."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")
@@ -48,5 +69,5 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return prose.not_prose(p8_stats(spark, d)).select("doc_id")
 
 
-QUERIES = {q.__name__: q for q in (p2_found, p2_clean_docs, p2_clean_lists, p5_found, p5_text, p8_found, p8_stats)}
+QUERIES = {q.__name__: q for q in (p2_found, p2_clean_docs, p2_clean_lists, p5_found, p5_text, p6_containers, p6_fill, p7_found, p7_items, p8_found, p8_stats)}
 SQL: dict[str, str] = {}
