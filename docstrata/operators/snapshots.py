@@ -58,3 +58,15 @@ def snapshot_changes(files: DataFrame, runs: DataFrame) -> DataFrame:
     rest = diff.join(taken, ["source", "seq", "slug", "change_type"], "left_anti").select("source", "seq", "change_type", "slug", F.lit("").alias("old_slug"))
     changes = rest.unionByName(pairs.select("source", "seq", F.lit("renamed").alias("change_type"), "slug", "old_slug"))
     return changes.join(small(successful_runs(runs).select("source", "seq", "run_id")), ["source", "seq"]).select("source", "run_id", "change_type", "slug", "old_slug")
+
+
+def snapshot(files: DataFrame, runs: DataFrame, back: int = 0) -> DataFrame:
+    """(source, slug, title, page_group, source_url, source_id, hash, last_updated): the snapshot of the last successful run of each source, or of one further back.
+
+    hash is the digest as hexadecimal text. Ties are settled as in snapshots(), then by the other columns.
+    """
+    run = successful_runs(runs).where(F.col("seq") == F.col("last_seq") - back).select("run_id", "source")
+    rows = files.drop("source").join(small(run), "run_id").where("slug is not null")
+    hashed = F.lower(F.regexp_replace(F.lower(stripped(F.col("hash"))), r"^[a-z][a-z0-9_/-]*\s*[:=]\s*", ""))
+    best = F.max(F.struct("loaded_at", F.nullif(hashed, F.lit("")).alias("hash"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"), "title", "page_group", "source_url", "last_updated"))
+    return rows.groupBy("source", plain_slug(F.col("slug")).alias("slug")).agg(best.alias("b")).select("source", "slug", "b.title", "b.page_group", "b.source_url", "b.source_id", "b.hash", "b.last_updated")
