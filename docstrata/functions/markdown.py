@@ -123,7 +123,7 @@ def _front_rows(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"fields": [f for f, _ in pairs], "body": [b for _, b in pairs]})
 
 
-_front = F.pandas_udf(_front_rows, StructType([StructField("fields", MapType(StringType(), StringType())), StructField("body", StringType())]), F.PandasUDFType.SCALAR)
+_front = F.pandas_udf(_front_rows, StructType([StructField("fields", MapType(StringType(), StringType())), StructField("body", StringType())]))
 _SPANS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
 _spans = {g: _udf(_SPANS, lambda t, s=s: s(t)) for g, s in fences.GRAMMARS.items()}
 _stripped = {g: _udf(StringType(), lambda t, s=s: fences.without(t, s(t))) for g, s in fences.GRAMMARS.items()}
