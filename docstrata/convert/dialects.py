@@ -8,6 +8,7 @@ from collections.abc import Callable
 from docstrata.convert.engine import Context, Props, Render, alert, around_code, by_name, cell, dedented, fenced, rendered, table
 from docstrata.convert.jsvalues import Reader, Unreadable, bracket_end, declarations
 from docstrata.functions.markdown import has_h1, split_front
+from docstrata.functions.scan import between
 
 # Labels of alerts by what the dialects call them.
 ALERTS = {"note": "NOTE", "tip": "TIP", "important": "IMPORTANT", "info": "NOTE", "warning": "WARNING", "caution": "CAUTION", "danger": "CAUTION", "callout": "NOTE"}
@@ -149,7 +150,6 @@ def vitepress(text: str) -> str:
 
 # --- Starlight MDX
 
-_COMMENT = re.compile(r"\{\s*/\*((?:[^*]|\*(?!/))*)\*/\s*\}")
 _IMPORT = re.compile(r"^(?:import|export)[ \t]+[^\n]*$\n?", re.M)
 _LOOSE = re.compile(r"</?[A-Z][\w.-]*(?:\s(?:[^<>\"'{}]|\"[^\"]*\"|'[^']*'|\{[^{}]*\})*)?/?>")
 
@@ -160,7 +160,7 @@ def mdx(text: str) -> str:
     registry = by_name({"Callout": _alert("NOTE"), "Aside": _alert("NOTE"), "TabItem": _labelled("label"), "Tabs": _bare})
 
     def passes(t: str) -> str:
-        t = _COMMENT.sub(lambda m: f"<!-- {m[1].strip().replace('--', '==')} -->", t)
+        t = between(t, "{/*", "*/}", lambda c: f"<!-- {c.strip().replace('--', '==')} -->")
         t = rendered(containers(t), registry, Context())
         return _spaced(_LOOSE.sub("", _IMPORT.sub("", t)))
 
@@ -196,7 +196,7 @@ def data_sections(text: str) -> str:
     """Exported data as Markdown: lists of records become tables, other readable collections sections; unreadable ones stay as code."""
     if "export" not in text:
         return text
-    names, out, at = declarations(text), [], 0
+    names, out, at, closed = declarations(text), [], 0, True
     reader = Reader(text, names)
     for m in re.finditer(r"^[ \t]*export[ \t]+(?:const|let|var)[ \t]+([A-Za-z_$][\w$]*)[ \t]*=[ \t]*", text, re.M):
         if m.start() < at:
@@ -206,7 +206,8 @@ def data_sections(text: str) -> str:
             done = _shown(value)
         except Unreadable:
             opens = re.compile(r"[\[{(]").search(text, m.end())
-            end = bracket_end(text, opens.start()) if opens else -1
+            end = bracket_end(text, opens.start()) if opens and closed else -1
+            closed = closed and end >= 0
             end = end if end > 0 else text.find("\n", m.end()) % (len(text) + 1)
             done = None
         end += text[end : end + 1] == ";"
@@ -220,7 +221,7 @@ def components(text: str, resolve: Callable[[str], str] = lambda href: href) ->
     context = Context(resolve=resolve, source=text)
 
     def passes(t: str) -> str:
-        t = unwrapped(data_sections(_COMMENT.sub("", t)))
+        t = unwrapped(data_sections(between(t, "{/*", "*/}", lambda c: "")))
         t = _numbered(rendered(t, by_name(_COMPONENTS, _ENDS_WIDGET), context))
         return _spaced(_HTML_TAG.sub(lambda m: _PRESENTATION.sub("", m[0]), t))
 
@@ -357,4 +358,4 @@ def astro(text: str, resolve: Callable[[str], str] = lambda href: href, collecti
     }
     registry = by_name({k: _readable(v) for k, v in named.items()}, {k: _readable(v) for k, v in ends.items()})
     _, body = split_front(text.lstrip("﻿"))
-    return around_code(body, lambda t: _spaced(rendered(_IMPORT.sub("", _COMMENT.sub("", t)), registry, context))) + "\n"
+    return around_code(body, lambda t: _spaced(rendered(_IMPORT.sub("", between(t, "{/*", "*/}", lambda c: "")), registry, context))) + "\n"

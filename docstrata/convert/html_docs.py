@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from collections.abc import Callable
-from html.parser import HTMLParser
 
 from docstrata.convert.engine import cell, fenced, table
 from docstrata.functions.markdown import blank_runs_collapsed
+from docstrata.functions.scan import between
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 DROPPED = frozenset("nav footer aside script style head noscript template button svg".split())
@@ -41,41 +42,41 @@ class Element:
         return "".join(i if isinstance(i, str) else "\n" if i.tag == "br" else i.text() for i in self.items)
 
 
-class _Builder(HTMLParser):
-    """A forgiving tree: end tags without a start are ignored, comments dropped, depth bounded."""
+_TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:.-]*)((?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)>|<![^<>]*>")
+_ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
+_RAW = ("script", "style")
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("#root", {}, None)
-        self.depth = 0
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        while tag in _ENDED_BY.get(self.at.tag, ()):
-            self.at, self.depth = self.at.parent, self.depth - 1
-        e = Element(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.items.append(e)
-        if tag not in VOID and self.depth < 250:
-            self.at, self.depth = e, self.depth + 1
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.at.items.append(Element(tag, {k: v or "" for k, v in attrs}, self.at))
-
-    def handle_endtag(self, tag: str) -> None:
-        up, k = self.at, 0
-        while up.parent is not None and up.tag != tag:
-            up, k = up.parent, k + 1
-        if up.parent is not None:
-            self.at, self.depth = up.parent, self.depth - k - 1
-
-    def handle_data(self, data: str) -> None:
-        self.at.items.append(data)
-
-
-def parsed(html: str) -> Element:
-    b = _Builder()
-    b.feed(html)
-    b.close()
-    return b.root
+def parsed(source: str) -> Element:
+    """A forgiving tree: end tags without a start are ignored, comments dropped, depth bounded; signs that are no tag are text."""
+    source = between(source, "<!--", "-->", lambda _: "")
+    root = at = Element("#root", {}, None)
+    depth, pos, raw = 0, 0, ""
+    for m in _TOKEN.finditer(source):
+        if raw and not (m[1] and m[2].lower() == raw):
+            continue
+        if m.start() > pos:
+            at.items.append(html.unescape(source[pos : m.start()]))
+        pos = m.end()
+        if not m[2]:
+            continue
+        tag = m[2].lower()
+        if m[1]:
+            raw = ""
+            up, k = at, 0
+            while up.parent is not None and up.tag != tag:
+                up, k = up.parent, k + 1
+            if up.parent is not None:
+                at, depth = up.parent, depth - k - 1
+            continue
+        while tag in _ENDED_BY.get(at.tag, ()):
+            at, depth = at.parent, depth - 1
+        e = Element(tag, {a[1].lower(): html.unescape(a[2] or a[3] or a[4] or "") for a in _ATTRIBUTE.finditer(m[3])}, at)
+        at.items.append(e)
+        if tag not in VOID and not m[3].endswith("/") and depth < 250:
+            at, depth, raw = e, depth + 1, tag if tag in _RAW else ""
+    at.items.append(html.unescape(source[pos:]))
+    return root
 
 
 def content_root(page: Element) -> tuple[Element, str]:
@@ -203,9 +204,9 @@ def _blocks(e: Element, link: Callable[[str], str]) -> list[str]:
     return out
 
 
-def html_to_markdown(html: str, link: Callable[[str], str] = lambda href: href) -> str:
+def html_to_markdown(page: str, link: Callable[[str], str] = lambda href: href) -> str:
     """The content of a page as Markdown; links outside code go through link(). Control and format characters go."""
-    root, _ = content_root(parsed(html))
+    root, _ = content_root(parsed(page))
     _labelled_tabs(root)
     text = "\n\n".join(_blocks(root, link))
     text = "".join(c for c in text if c in "\t\n\r" or unicodedata.category(c) not in ("Cf", "Cc"))
