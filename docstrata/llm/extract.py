@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from docstrata.llm.code_spans import cut, element_spans, fence_spans, indented_spans, inline_spans
 from docstrata.llm.markup import FRONT, HTML, LATEX, is_markdown, is_wiki, plain_lines
 from docstrata.llm.slots import without_slots
+from docstrata.functions.scan import between
 
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9.:-]*)((?:\s+(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)?)(/?)>")
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -198,7 +199,7 @@ def _render(node: Node, out: list[str], bullet: str = "- ") -> None:
 
 
 def from_html(text: str) -> str:
-    root = tree(re.sub(r"<!--(?:[^-]|-(?!->))*-->|<!doctype[^<>]*>", "", text, flags=re.I))
+    root = tree(re.sub(r"<!doctype[^<>]*>", "", between(text, "<!--", "-->", lambda _: ""), flags=re.I))
     _measure(root)
     out: list[str] = []
     for n in main_content(root):
@@ -317,7 +318,7 @@ def convert(body: str | None) -> tuple[list[str], str | None]:
         if markdown:
             work = from_markdown(work)
         if has_html:
-            work = html.unescape(_TAG.sub("", re.sub(r"<!--(?:[^-]|-(?!->))*-->", "", work)))
+            work = html.unescape(_TAG.sub("", between(work, "<!--", "-->", lambda _: "")))
         clean = work
     for _ in range(3):
         if "\x00" not in clean:

@@ -19,7 +19,8 @@ from pyspark.sql.types import ArrayType, BooleanType
 from docstrata.llm.code_spans import without_code
 from docstrata.llm.markup import FRONT, plain_lines
 from docstrata.llm.slots import HINT, has_slot
-from docstrata.runtime import small
+from docstrata.functions.scan import between, elements
+from docstrata.runtime import small, staged
 
 # What refusals, errors, script notices and filler say, sentence by sentence, in en, de, es and fr.
 ERROR = r"""
@@ -88,7 +89,7 @@ def _alternatives(*lists: str) -> re.Pattern[str]:
 
 _EVIDENCE = _alternatives(ERROR, SCRIPT, FILLER)
 _SERIES = re.compile(rf"(?:{_alternatives(FILLER).pattern})(?:[\s.]+(?:{_EVIDENCE.pattern}))+")
-_TITLE = re.compile(r"<(title|h[1-6])\b[^<>]*>[^<]*(?:<(?!/\1)[^<>]*>[^<]*)*</\1\s*>|<(?:head|style|script)\b[^<>]*>(?:[^<]|<(?!/(?:head|style|script)))*</(?:head|style|script)\s*>|<!--(?:[^-]|-(?!->))*-->", re.I)
+_ASIDE = r"title|h[1-6]|head|style|script"
 _TAG = re.compile(r"<[/!]?[A-Za-z][^<>]*>")
 _HEADING = re.compile(r"^(?: {0,3}#{1,6}[ \t][^\n]*|(={1,6})[ \t]*[^=\n]+?[ \t]*\1[ \t]*|\\(?:sub)*section\*?\{[^{}\n]*\}|[^\n]+\n {0,3}(?:={3,}|-{3,}))[ \t]*$", re.M)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+|(?<=\w)\s-\s|\s(?=\(?(?:reference|incident|request|trace|ray|vorgang|dossier|código) [0-9a-f]{6,})")
@@ -109,10 +110,15 @@ def is_evidence(sentence: str) -> bool:
     return len(words) >= 2 and all(w in MOCK_LATIN for w in words)
 
 
+def _set_aside(text: str) -> str:
+    """Without comments and the elements that hold titles, styles and scripts."""
+    return elements(between(text, "<!--", "-->", lambda _: "\n"), _ASIDE, "\n") if "<" in text else text
+
+
 def _ends_in_content(text: str) -> bool:
     """A quick yes: the last line of words outside headings has a sentence that is no evidence."""
     if "<s" in text or "<S" in text or "<head" in text:  # style and script content would be taken for words
-        text = _TITLE.sub("\n", text)
+        text = _set_aside(text)
     below = ""
     for line in reversed(text.rsplit("\n", 12)[1:]):
         words = html.unescape(_TAG.sub(" ", line))
@@ -134,7 +140,7 @@ def says_nothing(text: str) -> bool:
         return False
     if text.startswith("---"):
         text = FRONT.sub("", text, count=1)
-    text = html.unescape(_TAG.sub("\n", _TITLE.sub("\n", text)))
+    text = html.unescape(_TAG.sub("\n", _set_aside(text)))
     text = _HEADING.sub("\n", text)
     any_evidence = False
     for sentence in _SENTENCE.split(text):
