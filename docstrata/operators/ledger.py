@@ -168,6 +168,7 @@ def standing_changes(entries: DataFrame, runs: DataFrame) -> DataFrame:
     """
     ok = successful_runs(runs)
     starts = ok.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("started", "run_id"))).alias("starts"))
+    entries = entries.select("entry_id", "source", "slug", "hash", "last_updated", "arrived_at")
     rows = entries.join(small(starts), "source").select("source", "slug", "entry_id", digest(F.col("hash")).alias("digest"), F.coalesce(instant(F.col("last_updated")), F.col("arrived_at")).alias("updated"), (F.size(F.filter("starts", lambda s: s["started"] < F.col("arrived_at"))) + 1).alias("seq"), F.size("starts").alias("last_seq"))
     rows = rows.where("digest is not null and slug is not null and updated is not null and seq <= last_seq")
     best = rows.groupBy("source", "slug", "seq").agg(F.max(F.struct("updated", "entry_id", "digest")).alias("best"))

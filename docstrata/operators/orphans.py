@@ -107,7 +107,7 @@ def link_references(issues: DataFrame, sources: DataFrame) -> DataFrame:
     file = F.nullif(stripped(F.col("file")), F.lit(""))
     raw = F.regexp_replace(stripped(F.col("target")), r"^<(.*)>\z", "$1")
     written = F.regexp_replace(raw, r"(?s)[?#].*\z", "")
-    exempt = small(sources.select("source", "illustrative_link_targets"))
+    exempt = small(sources.groupBy("source").agg(F.flatten(F.collect_set("illustrative_link_targets")).alias("illustrative_link_targets")))
     rows = issues.select("issue_id", "source", "reason", F.col("checked_at").alias("at"), file.alias("file"), raw.alias("raw"), written.alias("written")).join(exempt, "source", "left")
     is_target = F.col("file").isNotNull() & (F.col("written") != "") & ~F.col("raw").rlike(r"^(?:/|[A-Za-z][A-Za-z0-9+.-]*:)") & ~F.coalesce(F.array_contains("illustrative_link_targets", F.col("written")), F.lit(False))
     base = F.regexp_replace(F.regexp_replace(F.col("file"), r"[^/]*\z", ""), r"^(?:\./)*docs/", "")

@@ -15,9 +15,9 @@ from docstrata.runtime import small, staged
 
 
 def successful_runs(runs: DataFrame, by: str = "started") -> DataFrame:
-    """(run_id, source, seq, last_seq, started, completed) of the runs with outcome ok, numbered from 1 by the given time."""
+    """(run_id, source, seq, last_seq, started, completed) of the runs with outcome ok, numbered from 1 by the given time. Repeated rows of a run count once."""
     order = Window.partitionBy("source").orderBy(F.col(by).asc_nulls_last(), "run_id")
-    ok = runs.where(F.col("outcome") == "ok").where(F.col("source").isNotNull())
+    ok = runs.where((F.col("outcome") == "ok") & F.col("source").isNotNull() & F.col("run_id").isNotNull()).groupBy("run_id").agg(F.max(F.struct("source", "started", "completed")).alias("r")).select("run_id", "r.*")
     return ok.select(
         "run_id", "source", "started", "completed", F.row_number().over(order).alias("seq"),
         F.count("*").over(Window.partitionBy("source")).alias("last_seq"),
@@ -30,7 +30,8 @@ def snapshots(files: DataFrame, runs: DataFrame) -> DataFrame:
     Of rows with one plain slug the one loaded last counts; a null loaded_at comes before all others, and equal times
     are settled by the larger digest and source_id. Blank source_ids are null; rows with a null slug are no pages.
     """
-    rows = files.join(small(successful_runs(runs).drop("source", "started", "completed")), "run_id")
+    files = files.select("run_id", "slug", "loaded_at", "hash", "source_id")
+    rows = files.join(small(successful_runs(runs).drop("started", "completed")), "run_id")
     rows = rows.select("source", "seq", "last_seq", plain_slug(F.col("slug")).alias("slug"), "loaded_at", digest(F.col("hash")).alias("digest"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"))
     best = F.max(F.struct("loaded_at", "digest", "source_id", "last_seq")).alias("b")
     return rows.where(F.col("slug").isNotNull()).groupBy("source", "seq", "slug").agg(best).select("source", "seq", "b.last_seq", "slug", "b.digest", "b.source_id")
@@ -66,7 +67,8 @@ def snapshot(files: DataFrame, runs: DataFrame, back: int = 0) -> DataFrame:
     hash is the digest as hexadecimal text. Ties are settled as in snapshots(), then by the other columns.
     """
     run = successful_runs(runs).where(F.col("seq") == F.col("last_seq") - back).select("run_id", "source")
-    rows = files.drop("source").join(small(run), "run_id").where("slug is not null")
+    files = files.select("run_id", "slug", "title", "page_group", "source_url", "source_id", "hash", "last_updated", "loaded_at")
+    rows = files.join(small(run), "run_id").where("slug is not null")
     hashed = F.lower(F.regexp_replace(F.lower(stripped(F.col("hash"))), r"^[a-z][a-z0-9_/-]*\s*[:=]\s*", ""))
     best = F.max(F.struct("loaded_at", F.nullif(hashed, F.lit("")).alias("hash"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"), "title", "page_group", "source_url", "last_updated"))
     return rows.groupBy("source", plain_slug(F.col("slug")).alias("slug")).agg(best.alias("b")).select("source", "slug", "b.title", "b.page_group", "b.source_url", "b.source_id", "b.hash", "b.last_updated")
