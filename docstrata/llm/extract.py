@@ -339,7 +339,8 @@ def _convert_udf(body: pd.Series) -> pd.DataFrame:
 def converted(docs: DataFrame, body: str) -> DataFrame:
     """Adds markups (the languages of which the body has a construct outside code) and clean_text.
 
-    A null body has no markup and a null text. The conversion runs once a row; filter on its columns only after staging.
+    Columns of those names are replaced. A null body has no markup and a null text, an empty one an empty text. The conversion runs once a row; filter on its columns only after staging.
     """
-    done = docs.withColumn("_converted", _convert_udf(F.col(body)))
-    return done.withColumn("markups", F.col("_converted.markups")).withColumn("clean_text", F.col("_converted.text")).drop("_converted")
+    kept = [c for c in docs.columns if c not in ("markups", "clean_text")]
+    done = docs.select(*kept, _convert_udf(F.col(body)).alias("__converted"))
+    return done.select(*kept, F.col("__converted.markups").alias("markups"), F.col("__converted.text").alias("clean_text"))

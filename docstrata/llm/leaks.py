@@ -232,7 +232,7 @@ def _found_udf(index, wanted):
         again = _hits([split[o] for o in candidates], own, None)
         for n, o in enumerate(candidates):
             if ks := leaked_items(split[o], again.get(n, []), own):
-                rows[o] = [own.ids[k] for k in sorted(ks)]
+                rows[o] = sorted({own.ids[k] for k in ks})
         return pd.Series(rows, dtype=object)
 
     return found
@@ -241,7 +241,8 @@ def _found_udf(index, wanted):
 def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """(key, item_key): documents that contain an item's text or a passage of it.
 
-    Null and empty texts contain nothing, items of fewer than five words are in no document; repeated rows repeat. items
+    Null and empty texts contain nothing, items of fewer than five words are in no document; repeated documents repeat,
+    repeated items do not. items
     is a held-out set: its texts must fit the driver (a million items of 100 words are about 1 GB).
     """
     spark = docs.sparkSession

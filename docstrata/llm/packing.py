@@ -126,6 +126,8 @@ def packed(docs: DataFrame, key: str, text: str, capacities: Iterable[tuple[int,
     windows = [(int(w), int(c)) for w, c in capacities]
     if any(c < 1 for _, c in windows):
         raise ValueError("a capacity is at least 1")
+    if not windows:
+        return spark.createDataFrame([], "window_id long, container long").join(docs.select(key), F.lit(False)).select("window_id", "container", key, F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("tokens"))
     sized = staged(with_tokens(docs.select(key, text), text, tokenizer).select(key, "tokens").where("tokens > 0"), "tokens")
     caps = F.array(*(F.struct(F.lit(w).cast("long").alias("window_id"), F.lit(c).cast("long").alias("capacity")) for w, c in windows))
     pieces = sized.select(key, "tokens", F.inline(caps)).select("window_id", key, "capacity", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("tokens") / F.col("capacity")) - 1)).alias("piece"))

@@ -111,23 +111,30 @@ def tail_probabilities(values: DataFrame) -> DataFrame:
     return ranked.select("lang", "stat", "value", "n", (F.col("upto") / F.col("total")).alias("low"), ((F.col("total") - F.col("upto") + F.col("n")) / F.col("total")).alias("high"), "total")
 
 
-def outlier_scores(measured: DataFrame, key: str) -> DataFrame:
-    """(key, lang, score, ranked_of) from rows of (key, lang, statistics); rows with null statistics are left out."""
+def outlier_scores(measured: DataFrame, rows: str) -> DataFrame:
+    """(rows, score, ranked_of) from (rows, lang, statistics), where rows numbers the distinct statistics of a key."""
     pairs = F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).cast("double").alias("value")) for s in STATISTICS))
-    long = measured.where(F.col("words").isNotNull()).select(key, "lang", F.inline(pairs))
+    long = measured.select(rows, "lang", F.inline(pairs))
     skews = small(long.groupBy("lang", "stat").agg(F.skewness("value").alias("skew")))
     tails = staged(tail_probabilities(long).join(skews, ["lang", "stat"], "left"), "tails")
     low, high = -F.log("low"), -F.log("high")
     side = F.when(F.col("skew") < 0, low).otherwise(high)
-    scored = heavy_join(long, tails, ["lang", "stat", "value"], "n").groupBy(key, "lang").agg(F.sum(low).alias("l"), F.sum(high).alias("h"), F.sum(side).alias("s"), F.max("total").alias("ranked_of"))
-    return scored.select(key, "lang", F.greatest("l", "h", "s").alias("score"), "ranked_of")
+    joined = heavy_join(long, tails, ["lang", "stat", "value"], "n")
+    of = lambda c, s: F.max(F.when(F.col("stat") == s, c))  # noqa: E731  (repeated rows have equal values)
+    total = lambda c: sum((of(c, s) for s in STATISTICS[1:]), of(c, STATISTICS[0]))
+    summed = joined.groupBy(rows).agg(total(low).alias("l"), total(high).alias("h"), total(side).alias("s"), F.max("total").alias("ranked_of"))
+    return summed.select(rows, F.greatest("l", "h", "s").alias("score"), "ranked_of")
 
 
 def scored_documents(docs: DataFrame, key: str, text: str, lang: str, common_words: DataFrame) -> DataFrame:
-    """(key, lang, statistics, score, ranked_of). lang is reduced to its language; null texts have no row."""
+    """(key, lang, statistics, score, ranked_of). lang is reduced to its language; null texts have no row.
+
+    Repeated rows repeat, and each counts in the ranks; a key with several texts has a score for each.
+    """
     rows = docs.select(key, language(F.col(lang)).alias("lang"), text)
-    measured = staged(with_statistics(rows, text, common_words).drop(text), "statistics")
-    return measured.where(F.col("words").isNotNull()).join(outlier_scores(measured, key).drop("lang"), key)
+    measured = with_statistics(rows, text, common_words).where(F.col("words").isNotNull())
+    measured = staged(measured.withColumn("__row", F.xxhash64(key, "lang", *STATISTICS)).drop(text), "statistics")
+    return measured.join(outlier_scores(measured, "__row"), "__row").drop("__row")
 
 
 def not_prose(scored: DataFrame) -> DataFrame:

@@ -212,12 +212,16 @@ def boilerplate(docs: DataFrame, host: str, body: str, share: float = 0.02, leas
 
 
 def residue_records(docs: DataFrame, key: str, host: str, body: str) -> DataFrame:
-    """Adds is_residue to the records (false where the body is null)."""
-    known = small(boilerplate(docs, host, body))
+    """Adds is_residue to the records (false where the body is null), in place of a column of that name.
+
+    Records without a host have no boilerplate; repeated records are judged alike; an empty body says nothing and is none.
+    """
+    docs = docs.drop("is_residue")
+    known = small(boilerplate(docs.select(host, body), host, body).select(F.col(host).alias("__host"), F.col("recurrent").alias("__recurrent")))
     lines = F.split(body, r"\r?\n")
-    residual = F.when(F.col("recurrent").isNull(), F.col(body)).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains("recurrent", F.xxhash64(normal_line(x)))), "\n"))
+    residual = F.when(F.col("__recurrent").isNull(), F.col(body)).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains("__recurrent", F.xxhash64(normal_line(x)))), "\n"))
     slotted = F.when(F.col(body).rlike(HINT), F.col(body))
-    return docs.join(known, host, "left").withColumn("is_residue", _residue_udf(slotted, residual)).drop("recurrent")
+    return docs.join(known, F.col(host) == F.col("__host"), "left").withColumn("is_residue", _residue_udf(slotted, residual)).drop("__host", "__recurrent")
 
 
 def bad_elements(records: DataFrame, key: str, elements: str) -> DataFrame:
