@@ -122,4 +122,5 @@ def backoff_seconds(attempt: Column, base: float = 2.0, cap: float = 30.0) -> Co
 
 def retry_after(header: Column, cap: float = 30.0) -> Column:
     """A numeric Retry-After within 0 and the cap, null for others."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(cap), stripped(header).try_cast("double")))
+    seconds = stripped(header).try_cast("double")
+    return F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(cap), seconds)))
