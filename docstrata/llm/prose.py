@@ -91,8 +91,9 @@ def with_statistics(docs: DataFrame, text: str, common_words: DataFrame) -> Data
         known = common.value
         return pd.DataFrame([statistics(t, known) or (None,) * len(STATISTICS) for t in texts], columns=list(STATISTICS))
 
-    done = docs.withColumn("_s", measure(F.col(text)))
-    return done.select(*docs.columns, *(F.col(f"_s.{s}").alias(s) for s in STATISTICS))
+    kept = [c for c in docs.columns if c not in STATISTICS]
+    done = docs.select(*kept, measure.asNondeterministic()(F.col(text)).alias("__s"))  # so that no filter on its result runs it again
+    return done.select(*kept, *(F.col(f"__s.{s}").alias(s) for s in STATISTICS))
 
 
 def tail_probabilities(values: DataFrame) -> DataFrame:
@@ -131,8 +132,8 @@ def scored_documents(docs: DataFrame, key: str, text: str, lang: str, common_wor
 
     Repeated rows repeat, and each counts in the ranks; a key with several texts has a score for each.
     """
-    rows = docs.select(key, language(F.col(lang)).alias("lang"), text)
-    measured = with_statistics(rows, text, common_words).where(F.col("words").isNotNull())
+    rows = docs.where(F.col(text).isNotNull()).select(key, language(F.col(lang)).alias("lang"), text)
+    measured = with_statistics(rows, text, common_words)
     measured = staged(measured.withColumn("__row", F.xxhash64(key, "lang", *STATISTICS)).drop(text), "statistics")
     return measured.join(outlier_scores(measured, "__row"), "__row").drop("__row")
 
