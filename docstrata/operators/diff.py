@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.functions.titles import canonical_title, usable_title
-from docstrata.runtime import staged
+from docstrata.runtime import small, staged
 
 COLUMNS = ("source", "change_type", "slug", "old_slug", "title", "source_url", "matched_by")
 
@@ -39,7 +39,7 @@ def diff(old: DataFrame, new: DataFrame, baseline: DataFrame | None = None) -> D
     known = (baseline if baseline is not None else old).select("source").distinct()
     fields = ("title", "source_url", "source_id", "hash")
     a = old.select("source", "slug", *(F.coalesce(F.col(c), F.lit("")).alias(f"old_{c}") for c in fields), F.lit(True).alias("in_old"))
-    b = new.join(F.broadcast(known), "source", "left_semi").select("source", "slug", *(F.coalesce(F.col(c), F.lit("")).alias(f"new_{c}") for c in fields), F.lit(True).alias("in_new"))
+    b = new.join(small(known), "source", "left_semi").select("source", "slug", *(F.coalesce(F.col(c), F.lit("")).alias(f"new_{c}") for c in fields), F.lit(True).alias("in_new"))
     side = F.when(F.col("in_old").isNull(), "added").when(F.col("in_new").isNull(), "removed").when(F.col("old_hash") != F.col("new_hash"), "modified")
     pick = lambda c: F.when(F.col("in_new").isNull(), F.col(f"old_{c}")).otherwise(F.col(f"new_{c}")).alias(c)
     both = a.join(b, ["source", "slug"], "full_outer").select("source", "slug", side.alias("side"), pick("title"), pick("source_url"), pick("source_id")).where("side is not null")

@@ -250,7 +250,7 @@ def tree_discovery(spark, d):
 def bullet_discovery(spark, d):
     pages = table(spark, d, "pages")
     lines = pages.select("source", F.concat(F.lit("- ["), F.lit("page"), F.lit("]("), "source_md_url", F.lit(")")).alias("text"), F.array(F.lit("x")).alias("one"))
-    hosts = [f"docs.{r[0]}.example" for r in table(spark, d, "doc_sources").select("source").orderBy("source").limit(1000).collect()]
+    hosts = [f"docs.{r[0]}.example" for r in table(spark, d, "doc_sources").select("source").distinct().orderBy("source").toLocalIterator()]
     return lines.select("source", F.explode(listings.bullet_links(F.col("text"), hosts, "/")).alias("l")).select("source", "l.url")
 
 

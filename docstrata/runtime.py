@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import functools
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,9 +19,26 @@ BROADCAST_ROWS = 100_000
 HEAVY_SHARE = 0.001
 
 _staged: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
+
+
+@functools.cache
+def _package() -> str:
+    """The package as an archive in a temporary folder of the driver."""
+    home = os.path.dirname(os.path.abspath(__file__))
+    return shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="docstrata-"), "docstrata"), "zip", os.path.dirname(home), os.path.basename(home))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors of a cluster, once a session; local masters share the driver's path."""
+    context = spark.sparkContext
+    if not context.master.startswith("local") and context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        context.addPyFile(_package())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
