@@ -320,6 +320,7 @@ def convert(body: str | None) -> tuple[list[str], str | None]:
         if has_html:
             work = html.unescape(_TAG.sub("", between(work, "<!--", "-->", lambda _: "")))
         clean = work
+    clean = re.sub(r"[ \t]+$", "", clean, flags=re.M)
     for _ in range(3):
         if "\x00" not in clean:
             break
@@ -339,8 +340,9 @@ def _convert_udf(body: pd.Series) -> pd.DataFrame:
 def converted(docs: DataFrame, body: str) -> DataFrame:
     """Adds markups (the languages of which the body has a construct outside code) and clean_text.
 
-    Columns of those names are replaced. A null body has no markup and a null text, an empty one an empty text. The conversion runs once a row; filter on its columns only after staging.
+    Columns of those names are replaced. A null body has no markup and a null text, an empty one an empty text.
     """
     kept = [c for c in docs.columns if c not in ("markups", "clean_text")]
-    done = docs.select(*kept, _convert_udf(F.col(body)).alias("__converted"))
+    once = _convert_udf.asNondeterministic()  # else the filter that an explode implies runs the conversion again
+    done = docs.select(*kept, once(F.col(body)).alias("__converted"))
     return done.select(*kept, F.col("__converted.markups").alias("markups"), F.col("__converted.text").alias("clean_text"))
