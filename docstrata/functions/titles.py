@@ -45,4 +45,4 @@ def version(raw: Column) -> Column:
 def version_parts(text: Column) -> Column:
     """struct(major, minor, patch, pre) of a semantic version, null for other texts."""
     part = lambda n: F.regexp_extract(text, r"^(\d+)\.(\d+)\.(\d+)(?:-([0-9A-Za-z.-]+))?\z", n)
-    return F.when(part(1) != "", F.struct(part(1).cast("int").alias("major"), part(2).cast("int").alias("minor"), part(3).cast("int").alias("patch"), F.nullif(part(4), F.lit("")).alias("pre")))
+    return F.when(part(1) != "", F.struct(part(1).try_cast("int").alias("major"), part(2).try_cast("int").alias("minor"), part(3).try_cast("int").alias("patch"), F.nullif(part(4), F.lit("")).alias("pre")))

@@ -84,12 +84,12 @@ def _resolved(path: Column) -> Column:
 def _page_key(path: Column) -> Column:
     """struct(domain, key) named by a path of the mirror; outside of it both are the path itself."""
     steps = _resolved(path)
-    steps = F.when(F.element_at(steps, 1) == "docs", F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0)))).otherwise(steps)
+    steps = F.when(F.get(steps, F.lit(0)) == "docs", F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0)))).otherwise(steps)
     slug = F.array_join(F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), "/")
     directory = path.rlike(r"/\z")
     key = F.when(directory, F.concat(slug, F.lit("/"))).when(slug.rlike(r"\.md\z"), F.regexp_replace(slug, r"\.md\z", "")).otherwise(F.concat(F.lit("?"), slug))
     inside = F.size(steps) >= F.when(directory, 1).otherwise(2)
-    return F.when(inside, F.struct(F.element_at(steps, 1).alias("domain"), key.alias("key"))).otherwise(F.struct(F.lit("?").alias("domain"), path.alias("key")))
+    return F.when(inside, F.struct(F.get(steps, F.lit(0)).alias("domain"), key.alias("key"))).otherwise(F.struct(F.lit("?").alias("domain"), path.alias("key")))
 
 
 def _unescaped(c: Column) -> Column:

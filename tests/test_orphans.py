@@ -60,6 +60,13 @@ def test_a_hot_key_keeps_all_its_rows(spark):
     assert [(r.field, r.kind, r.orphans, r.week) for r in orphan_report(df).collect()] == [("target", "missing", 3010, "2025-09-08")]
 
 
+def test_odd_paths(spark):
+    odd = [".", "..", "/", "s", "s/", "docs/", "docs", "docs/docs/x.md", "\\", "%", "s/../..", "x" * 50_000 + ".md", "s/" + "../" * 2000 + "a.md"]
+    got = found(spark, [issue(n, f, ".") for n, f in enumerate(odd)] + [issue(100 + n, "s/always.md", t) for n, t in enumerate([".", "..", "../", "./", "../../../", "<>", "%2e%2e/s/always.md", "%zz.md"])])
+    assert [g for g in got if g[1] == "file"] == [(n, "file", "missing") for n in range(len(odd))]
+    assert not [g for g in got if g[0] in (105, 106)] and all(g[2] == "missing" for g in got)
+
+
 def test_empty_tables(spark):
     assert found(spark, []) == []
     assert found(spark, [issue(1, "s/a.md")], []) == [(1, "file", "missing")]
