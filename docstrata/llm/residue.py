@@ -217,7 +217,8 @@ def residue_records(docs: DataFrame, key: str, host: str, body: str) -> DataFram
     Records without a host have no boilerplate; repeated records are judged alike; an empty body says nothing and is none.
     """
     docs = docs.drop("is_residue")
-    known = small(boilerplate(docs.select(host, body), host, body).select(F.col(host).alias("__host"), F.col("recurrent").alias("__recurrent")))
+    found = staged(boilerplate(docs.select(host, body), host, body), "boilerplate")  # it is counted before it is broadcast
+    known = small(found.select(F.col(host).alias("__host"), F.col("recurrent").alias("__recurrent")))
     lines = F.split(body, r"\r?\n")
     residual = F.when(F.col("__recurrent").isNull(), F.col(body)).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains("__recurrent", F.xxhash64(normal_line(x)))), "\n"))
     slotted = F.when(F.col(body).rlike(HINT), F.col(body))
@@ -226,7 +227,7 @@ def residue_records(docs: DataFrame, key: str, host: str, body: str) -> DataFram
 
 def bad_elements(records: DataFrame, key: str, elements: str) -> DataFrame:
     """(key, elem_pos) of the elements that are no slugs, positions counted from 0. Null and empty lists have none."""
-    some = records.where(F.size(elements) > 0).select(key, _elements_udf(elements).alias("bad"))
+    some = records.where(F.size(elements) > 0).select(key, _elements_udf.asNondeterministic()(elements).alias("bad"))
     return some.select(key, F.posexplode("bad").alias("elem_pos", "is_bad")).where("is_bad").select(key, "elem_pos")
 
 
