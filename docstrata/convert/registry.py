@@ -40,7 +40,7 @@ def converted(text: Column, dialect: str) -> Column:
     def batch(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([one(t) for t in texts], columns=["text", "error"])
 
-    return F.pandas_udf(batch, _RESULT)(text)
+    return F.pandas_udf(batch, _RESULT).asNondeterministic()(text)
 
 
 def rewritten_links(text: Column, slug: Column, known: Column, site: Column) -> Column:

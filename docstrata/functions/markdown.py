@@ -140,7 +140,7 @@ def collapsed(text: Column) -> Column:
 
 def front_matter(text: Column) -> Column:
     """struct(fields, body)."""
-    return _front(text)
+    return _front.asNondeterministic()(text)
 
 
 def demoted_headings(text: Column, by: int) -> Column:
@@ -157,7 +157,7 @@ def h1(text: Column) -> Column:
 
 def code_spans(text: Column, grammar: str) -> Column:
     """array<struct(start, end)> of the fenced blocks; explode it for rows."""
-    return _spans[grammar](text)
+    return _spans[grammar].asNondeterministic()(text)
 
 
 def without_code(text: Column, grammar: str) -> Column:
