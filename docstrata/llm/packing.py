@@ -47,7 +47,7 @@ def with_tokens(docs: DataFrame, text: str, tokenizer: str = TOKENIZER) -> DataF
         encode = encoding(tokenizer).encode_ordinary
         return pd.Series([None if t is None else len(encode(t)) for t in texts], dtype="Int64")
 
-    return docs.withColumn("tokens", count(F.col(text)))
+    return docs.withColumn("tokens", count.asNondeterministic()(F.col(text)))  # so that a filter on it does not run it again
 
 
 def boundaries(histogram: dict[int, int], buckets: int) -> list[int]:
