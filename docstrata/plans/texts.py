@@ -11,7 +11,7 @@ from docstrata.convert.registry import converted, rewritten_links, validated
 from docstrata.functions import assets, fences, links
 from docstrata.functions import markdown as M
 from docstrata.functions.canonical import digest, instant
-from docstrata.functions.text import content_hash, display_width, iso_stamp, log_escaped, section_title
+from docstrata.functions.text import LOG_ESCAPES, content_hash, display_width, iso_stamp, log_escaped, section_title
 from docstrata.functions.urls import clean_url
 from docstrata.operators import discovery, reports
 from docstrata.runtime import fresh_path, small, staged, table
@@ -22,6 +22,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def sql_log_escaped(column: str) -> str:
+    for a, b in LOG_ESCAPES:
+        a, b = (" || ".join("chr(10)" if c == "\n" else "chr(13)" if c == "\r" else f"'{c}'" for c in s) for s in (a, b))
+        column = f"replace({column}, {a}, {b})"
+    return column
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -39,7 +46,10 @@ def _bodies(spark, d):
 _BOM = "regexp_replace(body, '^' || chr(65279) || '+', '')"
 
 
-@query(rf"SELECT raw_id, (regexp_matches({_BOM}, '\A\s*---[ \t]*\r?\n([^\n]*\n)*?---[ \t]*(\r?\n|\z)') OR regexp_matches({_BOM}, '(?m)^\s*#{{1,6}}\s+\S') OR regexp_matches({_BOM}, '(?m)^[^\n]*[^-=\s][^\n]*\n[-=]{{2,}}[ \t\r]*$')) AND NOT regexp_matches(lower(substr({_BOM}, 1, 512)), '<!doctype|<html') AS is_markdown FROM raw_docs WHERE body IS NOT NULL")
+_VALID = rf"(regexp_matches({_BOM}, '\A\s*---[ \t]*\r?\n([^\n]*\n)*?---[ \t]*(\r?\n|\z)') OR regexp_matches({_BOM}, '(?m)^\s*#{{1,6}}\s+\S') OR regexp_matches({_BOM}, '(?m)^[^\n]*[^-=\s][^\n]*\n[-=]{{2,}}[ \t\r]*$')) AND NOT regexp_matches(lower(substr({_BOM}, 1, 512)), '<!doctype|<html')"
+
+
+@query(f"SELECT raw_id, {_VALID} AS is_markdown FROM raw_docs WHERE body IS NOT NULL")
 def markdown_valid(spark, d):
     return _bodies(spark, d).select("raw_id", M.is_markdown(F.col("body")).alias("is_markdown"))
 
@@ -139,14 +149,16 @@ def asset_references(spark, d):
     return _refs(spark, d).select("raw_id", "raw", "asset_path")
 
 
-@query()
+@query(r"""WITH l AS (SELECT raw_id, regexp_extract_all(body, '(img/|\.\./img/)([^\s)"''<>]+)', 0) AS a FROM raw_docs WHERE body IS NOT NULL), m AS (SELECT raw_id, unnest(a) AS raw, generate_subscripts(a, 1) AS pos FROM l),
+  r AS (SELECT *, regexp_replace(raw, '[?#].*$', '') AS url, regexp_replace(regexp_replace(raw, '^(\.\./)?img/', ''), '[?#].*$', '') AS rest FROM m)
+  SELECT rest AS asset_path, url, 'media/' || rest AS local_path FROM r WHERE lower(regexp_extract(rest, '[^/.](\.[^./]*)$', 1)) IN ('.png', '.svg', '.jpg') QUALIFY row_number() OVER (PARTITION BY rest ORDER BY raw_id, pos) = 1""")
 def asset_plan(spark, d):
     return assets.download_plan(_refs(spark, d), "raw_id", _RULES.subdir)
 
 
-@query()
+@query("SELECT DISTINCT coalesce(page_group, 'none') || '/unused.png' AS asset_path FROM pages")
 def asset_prune(spark, d):
-    """Of files for every second plan entry and every page group, those that nothing refers to."""
+    """Of the referenced files and one more for every page group, those that nothing refers to."""
     refs = _refs(spark, d)
     files = refs.select("asset_path").distinct().unionByName(table(spark, d, "pages").select(F.concat(F.coalesce("page_group", F.lit("none")), F.lit("/unused.png")).alias("asset_path")).distinct())
     return assets.prunable(files, refs, all_fresh=True)
@@ -182,7 +194,7 @@ def converted_pages(spark, d):
     return pages.select("raw_id", "hash", "title")
 
 
-@query()
+@query(f"SELECT raw_id, 'not Markdown' AS error FROM raw_docs WHERE body IS NOT NULL AND NOT ({_VALID})")
 def conversion_failures(spark, d):
     docs = _bodies(spark, d).select("raw_id", "body")
     _, failures = validated(docs, "markdown")
@@ -194,7 +206,7 @@ def column_widths(spark, d):
     return table(spark, d, "doc_sources").groupBy("source").agg(F.max(display_width(F.col("title"))).alias("display_width"))
 
 
-@query()
+@query(f"SELECT DISTINCT title, {sql_log_escaped('title')} AS escaped FROM manifest_files WHERE title IS NOT NULL")
 def log_titles(spark, d):
     titles = table(spark, d, "manifest_files").select("title").where("title is not null").distinct()
     return titles.select("title", log_escaped(F.col("title")).alias("escaped"))
