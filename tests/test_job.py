@@ -75,7 +75,7 @@ def test_budgets(name):
     most, run = BUDGETS[name]
     took = []
     for _ in range(2):
-        t = time.perf_counter()
+        t = time.process_time()
         run()
-        took.append(time.perf_counter() - t)
+        took.append(time.process_time() - t)
     assert min(took) < 4 * most
