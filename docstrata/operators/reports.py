@@ -28,7 +28,7 @@ def index_lines(pages: DataFrame) -> DataFrame:
     """
     rows = pages.withColumn("page_group", group_name())
     groups = rows.select("source", "page_group").distinct()
-    pos = F.row_number().over(Window.partitionBy("source").orderBy(F.col("page_group") != "root", "page_group"))
+    pos = F.row_number().over(Window.partitionBy("source").orderBy(F.col("page_group") != "root", "page_group")).cast("long")
     line = F.concat(F.lit("| "), title_escaped(F.coalesce("title", F.lit(""))), F.lit(" | ["), "slug", F.lit(".md](./"), "slug", F.lit(".md) | [source](<"), safe_url(F.coalesce("source_url", F.lit(""))), F.lit(">) |"))
     return rows.join(groups.withColumn("group_pos", pos), ["source", "page_group"]).select("source", "page_group", "group_pos", "slug", line.alias("line"))
 

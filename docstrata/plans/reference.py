@@ -267,7 +267,7 @@ def _log(column: str) -> str:
 _URL = "replace(replace(replace(replace(replace(source_url, '<', '%3C'), '>', '%3E'), chr(10), '%0A'), chr(13), '%0D'), '|', '%7C')"
 
 
-@query(f"""{_DIFF} SELECT source, change_type, CASE change_type WHEN 'added' THEN 1 WHEN 'modified' THEN 2 WHEN 'renamed' THEN 3 ELSE 4 END AS section_pos, CASE WHEN change_type = 'renamed' THEN CASE WHEN matched_by = 'source_id' THEN '0' ELSE '1' END || old_slug ELSE slug END AS sort_slug,
+@query(f"""{_DIFF} SELECT source, change_type, CAST(CASE change_type WHEN 'added' THEN 1 WHEN 'modified' THEN 2 WHEN 'renamed' THEN 3 ELSE 4 END AS BIGINT) AS section_pos, CASE WHEN change_type = 'renamed' THEN CASE WHEN matched_by = 'source_id' THEN '0' ELSE '1' END || old_slug ELSE slug END AS sort_slug,
   '- **' || {_log('title')} || '**' || CASE WHEN change_type = 'renamed' THEN ' moved `' || old_slug || '` → `' || slug || '` (matched by ' || matched_by || ')' ELSE ' — `' || slug || '`' END || ' — [source](<' || {_URL} || '>)' || CASE WHEN change_type = 'removed' THEN ' (no longer in the source; possibly deprecated)' ELSE '' END AS line FROM ch""")
 def change_log_lines(spark, d):
     return reports.log_lines(D.diff(*_old_new(spark, d)))

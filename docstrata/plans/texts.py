@@ -76,7 +76,7 @@ def fences_stripped(spark, d):
 
 @query(r"SELECT raw_id, length(regexp_replace(body, '[\p{Cf}\p{Cc}]', '', 'g')) + (length(body) - length(regexp_replace(body, '[\t\n\r]', '', 'g'))) AS chars FROM raw_docs WHERE body IS NOT NULL")
 def invisible_stripped(spark, d):
-    return _bodies(spark, d).select("raw_id", F.length(M.visible(F.col("body"))).alias("chars"))
+    return _bodies(spark, d).select("raw_id", F.length(M.visible(F.col("body"))).cast("long").alias("chars"))
 
 
 @query()
@@ -203,7 +203,7 @@ def conversion_failures(spark, d):
 
 @query("SELECT source, display_width FROM (SELECT source, max(length(title)) AS display_width FROM doc_sources GROUP BY 1)")
 def column_widths(spark, d):
-    return table(spark, d, "doc_sources").groupBy("source").agg(F.max(display_width(F.col("title"))).alias("display_width"))
+    return table(spark, d, "doc_sources").groupBy("source").agg(F.max(display_width(F.col("title"))).cast("long").alias("display_width"))
 
 
 @query(f"SELECT DISTINCT title, {sql_log_escaped('title')} AS escaped FROM manifest_files WHERE title IS NOT NULL")
