@@ -20,11 +20,14 @@ _LAYOUT_TAG = re.compile(r"<(/?)(div|span|p)\b((?:[^<>\"'{}]|\"[^\"]*\"|'[^']*'|
 
 def _spaced(text: str) -> str:
     """Blank lines without blanks, at most one in a row."""
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"(?m)^[ \t]+$", "", text)).strip()
+    text = re.sub(r"(?m)^[ \t]+$", "", text) if " \n" in text or "\t\n" in text else text
+    return (re.sub(r"\n{3,}", "\n\n", text) if "\n\n\n" in text else text).strip(" \t\n")
 
 
 def containers(text: str) -> str:
     """':::type title' blocks as alerts, or bare content for other types. Inner ones are done first; one without an end stays."""
+    if ":::" not in text:
+        return text
     stack: list[tuple[re.Match[str], list[str]]] = []
     out: list[str] = []
     for line in text.split("\n"):
@@ -162,7 +165,8 @@ def mdx(text: str) -> str:
     def passes(t: str) -> str:
         t = between(t, "{/*", "*/}", lambda c: f"<!-- {c.strip().replace('--', '==')} -->")
         t = rendered(containers(t), registry, Context())
-        return _spaced(_LOOSE.sub("", _IMPORT.sub("", t)))
+        t = _IMPORT.sub("", t) if "import" in t or "export" in t else t
+        return _spaced(_LOOSE.sub("", t) if "<" in t else t)
 
     return _below_heading(fields, around_code(body, passes, "indented"), about=False)
 

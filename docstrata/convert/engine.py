@@ -216,13 +216,13 @@ def around_code(text: str, change: Callable[[str], str], grammar: str = "compone
     done = change("".join(parts))
 
     def restore(m: re.Match[str]) -> str:
-        before, n = m[1], int(m[2])
+        n = int(m[1])
         if n >= len(blocks):
             return m[0]
-        lead = re.sub(r"[^>\s]", " ", before)
-        return before + ("\n" + lead).join(blocks[n])
+        lead = re.sub(r"[^>\s]", " ", done[done.rfind("\n", 0, m.start()) + 1 : m.start()])
+        return ("\n" + lead).join(blocks[n])
 
-    return re.sub(r"([^\n\x02]*)\x02(\d+)\x03", restore, done) if blocks else done
+    return re.sub(r"\x02(\d+)\x03", restore, done) if blocks else done
 
 
 def alert(label: str, body: str, title: str = "") -> str:
