@@ -21,10 +21,6 @@ from docstrata.runtime import heavy_join, small, staged
 STATISTICS = ("words", "mean_word_length", "symbol_ratio", "line_punctuation", "common_share", "sentence_share")
 #: A sentence has so many words, of which at least this share are common words of any listed language.
 SENTENCE_WORDS, SENTENCE_COMMON = 4, 0.12
-#: Languages with fewer documents are not ranked: all of their documents are candidates.
-RANKED_FROM = 100
-#: Documents below this outlier score are running prose without a further look.
-CANDIDATE_SCORE = 5.0
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:]\d+)*")
 _BREAK = re.compile(r"\n[ \t]*\n")
@@ -139,6 +135,5 @@ def scored_documents(docs: DataFrame, key: str, text: str, lang: str, common_wor
 
 
 def not_prose(scored: DataFrame) -> DataFrame:
-    """Candidates by outlier score of which less than half of the words stand in full sentences. Empty texts are none."""
-    candidate = (F.col("score") >= CANDIDATE_SCORE) | (F.col("ranked_of") < RANKED_FROM)
-    return scored.where(candidate & (F.col("sentence_share") < 0.5) & ((F.col("words") > 0) | (F.col("symbol_ratio") > 0)))
+    """Rows of which less than half of the words stand in full sentences, whatever their score: common junk is no outlier. Empty texts are none."""
+    return scored.where((F.col("sentence_share") < 0.5) & ((F.col("words") > 0) | (F.col("symbol_ratio") > 0)))

@@ -91,3 +91,13 @@ def test_ranks_and_scores_equal_brute_force(spark):
     assert Q.scored_documents(df.where("false"), "doc_id", "text", "lang", common).count() == 0
     ids = {x.doc_id for x in Q.not_prose(spark.createDataFrame(got)).collect()}
     assert 901 not in ids and 900 not in ids
+
+
+def test_a_common_junk_page_is_not_prose(spark):
+    """A page repeated to half of its language has tail shares near a half and a low score, and is found all the same."""
+    prose = ["The reader of a page is glad to see that it works and is in the {} of it.", "It is the end of the {} and of the la et el story."]
+    data = [(n, "en", " ".join(prose).format("w" * (n % 7 + 1), "v" * (n % 5 + 1))) for n in range(100)] + [(1000 + n, "en", "wide hooks of stale keys. narrow is the rules, older maps") for n in range(100)]
+    common = spark.createDataFrame([("en", w) for w in sorted(COMMON)], "lang string, word string")
+    scored = Q.scored_documents(spark.createDataFrame(data, "doc_id long, lang string, text string"), "doc_id", "text", "lang", common).collect()
+    assert max(x.score for x in scored if x.doc_id >= 1000) < 5 and {x.ranked_of for x in scored} == {200}
+    assert sorted(x.doc_id for x in Q.not_prose(spark.createDataFrame(scored)).collect()) == list(range(1000, 1100))
