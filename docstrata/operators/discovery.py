@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.functions.urls import clean_url, first_group, markdown_twin, page_violations, parent_group, same_origin, slug_below
@@ -11,10 +11,13 @@ from docstrata.operators.lifecycle import first_wins
 PAGE = ("source", "slug", "source_url", "source_md_url", "source_id", "page_group", "ordinal")
 
 
-def from_addresses(found: DataFrame, site: str, prefix: str = "", groups: str = "parent", root: str = "index") -> DataFrame:
-    """Page records from (source, url, ordinal): addresses of the site below the prefix; groups are 'parent' or 'first' segments."""
-    clean = clean_url(F.col("url"))
-    rows = found.where(same_origin(clean, F.lit(site))).withColumn("slug", slug_below(F.col("url"), F.lit(site), prefix, root)).where("slug is not null")
+def from_addresses(found: DataFrame, site: str | Column, prefix: str = "", groups: str = "parent", root: str = "index") -> DataFrame:
+    """Page records from (source, url, ordinal): addresses of the site below the prefix; groups are 'parent' or 'first' segments.
+
+    The site is one for all rows or a column of found. Rows whose site is null are in none.
+    """
+    clean, site = clean_url(F.col("url")), F.lit(site)
+    rows = found.where(same_origin(clean, site)).withColumn("slug", slug_below(F.col("url"), site, prefix, root)).where("slug is not null")
     group = parent_group(F.col("slug")) if groups == "parent" else first_group(F.col("slug"))
     return rows.select("source", "slug", clean.alias("source_url"), markdown_twin(F.col("url")).alias("source_md_url"), F.col("slug").alias("source_id"), group.alias("page_group"), "ordinal")
 

@@ -248,6 +248,14 @@ def address_discovery(spark, d):
     return discovery.from_addresses(found, "https://docs.ovenlark.example").select("source", "slug", "ordinal")
 
 
+@query(r"""SELECT p.source, CASE WHEN rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/') = home_url THEN 'index' ELSE substr(rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/'), length(home_url) + 2) END AS slug, ordinal FROM pages p JOIN doc_sources s ON p.source = s.source""")
+def address_discovery_all(spark, d):
+    """The pages of every source, each below the home of its source."""
+    found = table(spark, d, "pages").select("source", F.col("source_url").alias("url"), "ordinal")
+    homes = small(table(spark, d, "doc_sources").select("source", "home_url"))
+    return discovery.from_addresses(found.join(homes, "source"), F.col("home_url")).select("source", "slug", "ordinal")
+
+
 @query("SELECT source, slug, ordinal FROM pages WHERE slug LIKE '%/%' AND source_url IS NOT NULL")
 def tree_discovery(spark, d):
     """Pages from file listings as JSON, of at most _CHUNK files each."""
