@@ -24,7 +24,7 @@ def is_markdown(text: Column) -> Column:
     """Has front matter at the start or a heading anywhere, and no HTML marker in the first 512 characters."""
     bare = F.regexp_replace(text, "^﻿+", "")
     front = bare.rlike(r"(?s)\A\s*---[ \t]*\r?\n(?:[^\n]*\n)*?---[ \t]*(?:\r?\n|\z)")
-    heading = bare.rlike(r"(?md)(?U)^\s*#{1,6}\s+\S") | bare.rlike(r"(?md)^[^\n]*[^-=\s][^\n]*\n[-=]{2,}[ \t\r]*$")
+    heading = bare.rlike(r"(?md)(?U)^\s*#{1,6}\s+\S") | bare.rlike(r"(?md)^[-=\s&&[^\n]]*+[^-=\s][^\n]*+\n[-=]{2,}[ \t\r]*$")
     marked = F.lower(F.substring(bare, 1, 512)).rlike(r"<!doctype|<html")
     return (front | heading) & ~marked
 

@@ -170,30 +170,35 @@ def assets_rewritten(spark, d):
     return rows.select("raw_id", content_hash(assets.rewrite(F.col("body"), F.col("slug"), _RULES)).alias("hash"))
 
 
-def _converter(name: str, dialect: str, having: str):
+def _converter(name: str, dialect: str):
     def run(spark, d):
-        done = staged(_bodies(spark, d).where(having).select("raw_id", converted(F.col("body"), dialect).alias("c")), name)
+        done = staged(_bodies(spark, d).select("raw_id", converted(F.col("body"), dialect).alias("c")), name)
         return done.select("raw_id", F.length("c.text").alias("chars"), content_hash(F.col("c.text")).alias("hash"), "c.error")
 
     run.__name__ = name
     QUERIES[name] = run
 
 
-_converter("html_to_markdown", "html", r"body rlike '(?i)<(?:html|h1|p)\\b'")
-_converter("vitepress_to_markdown", "vitepress", "true")
-_converter("mdx_to_markdown", "mdx", "true")
-_converter("components_to_markdown", "components", "true")
-_converter("astro_to_markdown", "astro", "true")
+_converter("html_to_markdown", "html")
+_converter("vitepress_to_markdown", "vitepress")
+_converter("mdx_to_markdown", "mdx")
+_converter("components_to_markdown", "components")
+_converter("astro_to_markdown", "astro")
 
 
 @query()
 def converted_pages(spark, d):
-    """HTML pages converted, validated, hashed and titled."""
-    docs = _bodies(spark, d).where(r"body rlike '(?i)<h1'").select("raw_id", "body")
-    pages, _ = validated(docs, "html")
+    """All bodies converted as HTML, validated, hashed and titled; html_conversion_failures has the rest."""
+    pages, _ = validated(_bodies(spark, d).select("raw_id", "body"), "html")
     return pages.select("raw_id", "hash", "title")
 
 
+@query()
+def html_conversion_failures(spark, d):
+    _, failures = validated(_bodies(spark, d).select("raw_id", "body"), "html")
+    return failures.select("raw_id", "error")
+
+
 @query(f"SELECT raw_id, 'not Markdown' AS error FROM raw_docs WHERE body IS NOT NULL AND NOT ({_VALID})")
 def conversion_failures(spark, d):
     docs = _bodies(spark, d).select("raw_id", "body")
@@ -256,14 +261,24 @@ def address_discovery_all(spark, d):
     return discovery.from_addresses(found.join(homes, "source"), F.col("home_url")).select("source", "slug", "ordinal")
 
 
-@query("SELECT source, slug, ordinal FROM pages WHERE slug LIKE '%/%' AND source_url IS NOT NULL")
-def tree_discovery(spark, d):
-    """Pages from file listings as JSON, of at most _CHUNK files each."""
-    pages = table(spark, d, "pages").where("slug like '%/%' and source_url is not null")
+def _trees(pages):
+    """(source, slug, ordinal) by way of file listings as JSON, of at most _CHUNK files each."""
     entry = F.struct(F.lit("blob").alias("type"), F.concat(F.lit("docs/"), "slug", F.lit("?"), "ordinal", F.lit(".md")).alias("path"))
     trees = pages.groupBy("source", F.floor(F.col("ordinal") / _CHUNK).alias("chunk")).agg(F.to_json(F.struct(F.lit(False).alias("truncated"), F.collect_list(entry).alias("tree"))).alias("json"))
     found = listings.tree_pages(listings.tree_entries(trees.select("source", "json"), "json"), "docs/")
-    return found.select("source", F.split_part("slug", F.lit("?"), F.lit(1)).alias("slug"), F.split_part("slug", F.lit("?"), F.lit(2)).cast("int").alias("ordinal"))
+    return found.select("source", F.regexp_replace("slug", r"(?s)\?[^?]*\z", "").alias("slug"), F.substring_index("slug", "?", -1).cast("int").alias("ordinal"))
+
+
+@query("SELECT source, slug, ordinal FROM pages WHERE slug LIKE '%/%' AND source_url IS NOT NULL")
+def tree_discovery(spark, d):
+    """Pages below a directory."""
+    return _trees(table(spark, d, "pages").where("slug like '%/%' and source_url is not null"))
+
+
+@query("SELECT source, slug, ordinal FROM pages")
+def tree_discovery_all(spark, d):
+    """All pages, those of the top level too."""
+    return _trees(table(spark, d, "pages"))
 
 
 @query(r"SELECT source, rtrim(regexp_replace(source_md_url, '[?#].*$', ''), '/') AS url FROM pages WHERE regexp_matches(source_md_url, '^https://docs\.[a-z]+\.example/[^?#]*\.md([?#].*)?$')")
