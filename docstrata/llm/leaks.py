@@ -64,6 +64,7 @@ class Index:
     keys: np.ndarray  # word number -> random 64 bits, 0 is no item word
     hashes: np.ndarray  # sorted distinct shingle hashes
     places: list[list[tuple[int, int]]]  # for each hash: (item, position)
+    short: dict[int, dict[tuple[str, ...], list[int]]]  # for each length below SHINGLE: words -> items
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Index:
@@ -75,12 +76,15 @@ class Index:
         keys = np.random.default_rng(20).integers(1, 2**63, len(vocabulary) + 1, dtype=np.uint64)
         keys[0] = 0
         at: dict[int, list[tuple[int, int]]] = {}
+        short: dict[int, dict[tuple[str, ...], list[int]]] = {}
         for k, t in enumerate(texts):
+            if 0 < len(t) < SHINGLE:
+                short.setdefault(len(t), {}).setdefault(tuple(t), []).append(k)
             h, _ = rolled(keys[[vocabulary[w] for w in t]]) if len(t) >= SHINGLE else (np.empty(0, np.uint64), None)
             for p, x in enumerate(h.tolist()):
                 at.setdefault(x, []).append((k, p))
         order = sorted(at)
-        return cls(ids, texts, vocabulary, keys, np.array(order, dtype=np.uint64), [at[x] for x in order])
+        return cls(ids, texts, vocabulary, keys, np.array(order, dtype=np.uint64), [at[x] for x in order], short)
 
     def prefix(self, frequency: dict[int, int]) -> np.ndarray:
         """Which hashes are looked up: the rarest of every window, as many as its edits can destroy, and one."""
@@ -192,13 +196,14 @@ def leaked_items(doc: list[str], hits: list[tuple[int, int]], index: Index) -> l
             by_item.setdefault(k, []).append((q - p, q))
     found = []
     for k, pairs in by_item.items():
-        if len(pairs) < 2:
+        fewest = 1 if len(index.items[k]) <= 2 * SHINGLE else 2  # an edit can leave one shingle of ten words
+        if len(pairs) < fewest:
             continue
         pairs.sort()
         group: list[tuple[int, int]] = []
         for pair in [*pairs, (10**9, 0)]:
             if group and pair[0] - group[-1][0] > 6:
-                if len(group) >= 2 and passage(index.items[k], doc, group[0][0] - 4, group[-1][0] + 4):
+                if len(group) >= fewest and passage(index.items[k], doc, group[0][0] - 4, group[-1][0] + 4):
                     found.append(k)
                     break
                 group = []
@@ -206,6 +211,11 @@ def leaked_items(doc: list[str], hits: list[tuple[int, int]], index: Index) -> l
     return found
 
 
+def short_items(doc: list[str], index: Index) -> list[int]:
+    """Numbers of the items of fewer words than a shingle that stand in the document word for word; they may have no edit."""
+    return [k for n, known in index.short.items() for t in known.keys() & set(zip(*(doc[a:] for a in range(n)))) for k in known[t]]
+
+
 def _item_blocks(items: DataFrame, key: str, text: str) -> list[list[tuple[int, str]]]:
     rows = [(r[0], r[1]) for r in items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text).orderBy(key).toLocalIterator()]
     return [rows[a : a + BLOCK] for a in range(0, len(rows), BLOCK)]
@@ -233,6 +243,10 @@ def _found_udf(index, wanted):
         for n, o in enumerate(candidates):
             if ks := leaked_items(split[o], again.get(n, []), own):
                 rows[o] = sorted({own.ids[k] for k in ks})
+        if own.short:
+            for o, doc in enumerate(split):
+                if ks := short_items(doc, own):
+                    rows[o] = sorted({*(rows[o] or ()), *(own.ids[k] for k in ks)})
         return pd.Series(rows, dtype=object)
 
     return found
@@ -241,9 +255,8 @@ def _found_udf(index, wanted):
 def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """(key, item_key): documents that contain an item's text or a passage of it.
 
-    Null and empty texts contain nothing, items of fewer than five words are in no document; repeated documents repeat,
-    repeated items do not. items
-    is a held-out set: its texts must fit the driver (a million items of 100 words are about 1 GB).
+    Null and empty texts contain nothing, items without a word are in no document, those of fewer than five words
+    where they stand word for word; repeated documents repeat, repeated items do not. items is a held-out set: its texts must fit the driver (a million items of 100 words are about 1 GB).
     """
     spark = docs.sparkSession
     whole = docs.select(key, F.lit(None).cast("long").alias(item_key)).where("false")

@@ -1,6 +1,6 @@
 import random
 
-from docstrata.llm.leaks import Index, leaks, leaked_items, passage, rolled, words, _hits
+from docstrata.llm.leaks import Index, leaks, leaked_items, passage, rolled, short_items, words, _hits
 
 LEXICON = [f"w{n}" for n in range(400)]
 
@@ -73,3 +73,20 @@ def test_passage_bounds():
     item = [f"i{k}" for k in range(30)]
     assert passage(item, ["x"] + item[:15], -3, 5) and not passage(item, ["x"] + item[:13] + ["y"], -3, 5)
     assert rolled(Index.of([(1, "a b c d e f")]).keys[[1, 2, 3, 4, 5, 0]])[1].tolist() == [True, False]
+
+
+def test_items_of_few_words():
+    five, ten = "a b c d e".split(), "k l m n o p q r s t".split()
+    for doc in (["x"] * 9 + five + ["y"] * 9, ["x"] * 9 + ten[:4] + ["z"] + ten[5:] + ["y"] * 9):
+        assert found(doc, [five, ten]) or found(doc, [ten]) == [0], doc
+    assert found(["x", *five, "y"], [five]) == [0] and found(["x", *five[:4], "y"], [five]) == []
+    assert found(["x", *ten[:5], "z", *ten[6:]], [ten]) == [0] and found(["x", *ten[:4], "z", "z", *ten[6:]], [ten]) == []
+    index = Index.of([(1, "too short"), (2, "one"), (3, ""), (4, "Too, short"), (5, "a b c d")])
+    assert sorted(short_items("it is too short".split(), index)) == [0, 3] and short_items("too very short".split(), index) == []
+    assert short_items("x a b c d".split(), index) == [4] and short_items([], index) == []
+
+
+def test_short_items_in_the_operator(spark, rows):
+    docs = spark.createDataFrame([(1, "it is Too short."), (2, "too very short"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "too short")], "item_id long, text string")
+    assert rows(leaks(docs, "doc_id", "text", items, "item_id", "text")) == [(1, 7)]
