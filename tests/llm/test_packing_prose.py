@@ -101,3 +101,12 @@ def test_a_common_junk_page_is_not_prose(spark):
     scored = Q.scored_documents(spark.createDataFrame(data, "doc_id long, lang string, text string"), "doc_id", "text", "lang", common).collect()
     assert max(x.score for x in scored if x.doc_id >= 1000) < 5 and {x.ranked_of for x in scored} == {200}
     assert sorted(x.doc_id for x in Q.not_prose(spark.createDataFrame(scored)).collect()) == list(range(1000, 1100))
+
+
+def test_every_window_gets_containers(spark, tmp_path, monkeypatch):
+    from docstrata.llm import queries
+
+    spark.range(1500).selectExpr("id as window_id", "cast(64 as bigint) as capacity").write.parquet(f"file://{tmp_path}/pack_windows.parquet")
+    spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries.packing, "packed", lambda docs, key, text, windows: windows)
+    assert queries.p6_containers(spark, str(tmp_path)) == [(n, 64) for n in range(1500)]
