@@ -117,11 +117,11 @@ def _set_aside(text: str) -> str:
 
 def _ends_in_content(text: str) -> bool:
     """A quick yes: the last line of words outside headings has a sentence that is no evidence."""
-    if "<s" in text or "<S" in text or "<head" in text:  # style and script content would be taken for words
-        text = _set_aside(text)
+    if "<" in text:  # as the full pass sees it: tags end sentences, headings, comments, styles and scripts say nothing
+        text = _TAG.sub("\n", _set_aside(text))
     below = ""
     for line in reversed(text.rsplit("\n", 12)[1:]):
-        words = html.unescape(_TAG.sub(" ", line))
+        words = html.unescape(line)
         if _WORD.search(words):
             s = words.strip()
             underlined = below and not below.strip("=- ")

@@ -53,3 +53,14 @@ def test_lists(spark, rows):
     assert rows(R.bad_elements(df, "id", "names"), "id", "elem_pos") == [(1, 2), (1, 3), (None, 0)]
     assert rows(R.without_bad_elements(df, "names"), "id", "names") == sorted([(1, ["a/b", None]), (2, []), (3, None), (None, [])], key=repr)
     assert R.bad_elements(df.where("false"), "id", "names").count() == 0
+
+
+def test_tags_end_sentences_and_headings_and_comments_say_nothing():
+    for body in (
+        "<html><body>\n<p>Page not found</p><p>Go back home</p></body></html>",
+        "<body>\n<h1>Four words of title</h1><p>Page not found</p></body>",
+        "<p>Page not found</p>\n<!-- made by\na tool of many words -->",
+        "<p>Page not found\n<a\ntitle=\"a link of many words\"\n></a></p>",
+    ):
+        assert R.says_nothing(body), body
+    assert not R.says_nothing("<body>\n<p>Page not found</p><p>is what a server says of a missing page.</p></body>")
