@@ -42,7 +42,7 @@ class Element:
         return "".join(i if isinstance(i, str) else "\n" if i.tag == "br" else i.text() for i in self.items)
 
 
-_TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:.-]*)((?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)>|<![^<>]*>")
+_TOKEN = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:.-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<![^<>]*>")
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
 _RAW = ("script", "style")
 
