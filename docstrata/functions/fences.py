@@ -1,14 +1,17 @@
-"""Fenced code: five grammars that differ in indentation, closers and what an unclosed opener means. All are linear.
-
-==========  ==================  ===========================================  =======================
-grammar     indentation         closer                                       unclosed opener
-==========  ==================  ===========================================  =======================
-title       none                exactly three signs, then blanks             text
-block       none                a run equal to a prefix (3+) of the opener   text
-indented    up to 3 blanks      as block, without the indentation            text
-component   any blanks, tabs    same sign, run at least as long              text
-link        up to 3 blanks      same sign, run at least as long              code to the end
-==========  ==================  ===========================================  =======================
+"""Fenced code: five grammars over one scan of the fence lines.
+
+==========  ==============  ===========================================  =======================
+grammar     before a fence  closer                                       unclosed opener
+==========  ==============  ===========================================  =======================
+title       nothing         exactly three signs, then blanks             text
+block       nothing         a run equal to a prefix (3+) of the opener   text
+indented    up to 3 blanks  as block                                     text
+component   blanks, tabs    same sign, run at least as long              text
+link        up to 3 blanks  same sign, run at least as long              code to the end
+==========  ==============  ===========================================  =======================
+
+Only lines that begin with a fence are looked at. They are gone through from the end, and each learns from what lies
+behind it which line would close it; then a walk from the start takes an opener, jumps behind its closer, and goes on.
 """
 
 from __future__ import annotations
@@ -16,120 +19,99 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Callable
+from dataclasses import dataclass
+from typing import NamedTuple
 
 Span = tuple[int, int]
-_LINE = re.compile(r"[^\n]*")
-
-
-def _lines(text: str) -> list[Span]:
-    found, at = [], 0
-    while True:
-        end = text.find("\n", at)
-        if end < 0:
-            return [*found, (at, len(text))]
-        found.append((at, end))
-        at = end + 1
-
-
-def _run(line: str, at: int) -> str:
-    if at >= len(line) or line[at] not in "`~":
-        return ""
-    end = at
-    while end < len(line) and line[end] == line[at]:
-        end += 1
-    return line[at:end] if end - at >= 3 else ""
-
-
-def _by_closer(text: str, indent: Callable[[str], int], closes: Callable[[str, str], list[str]], last_opens: bool = False) -> list[Span]:
-    """Spans of the grammars whose closer is one of a few given runs: those are looked up in sorted lists."""
-    lines = _lines(text)
-    whole = [text[a:b] for a, b in lines]
-    heads = [(d, _run(x, d)) if (d := indent(x)) >= 0 else (0, "") for x in whole]
-    bare: dict[str, list[int]] = {}
-    for n, (d, run) in enumerate(heads):
-        if run and not whole[n][d + len(run) :].strip(" \t\r"):
-            bare.setdefault(run, []).append(n)
-    spans, n = [], 0
-    while n < len(lines):
-        run, end = heads[n][1], -1
-        if run and (n + 1 < len(lines) or last_opens):
-            for closer in closes(run, whole[n]):
-                at = bare.get(closer)
-                if at and (k := bisect_right(at, n)) < len(at):
-                    end = at[k]
-                    break
-        if end < 0:
-            n += 1
-        else:
-            spans.append((lines[n][0] + heads[n][0], lines[end][1]))
-            n = end + 1
-    return spans
-
-
-def _prefixes(run: str, _: str) -> list[str]:
-    return [run[:k] for k in range(len(run), 2, -1)]
-
-
-def title_spans(text: str) -> list[Span]:
-    return _by_closer(text, lambda x: 0 if x[:3] in ("```", "~~~") else -1, lambda run, _: [run[:3]])
-
-
-def block_spans(text: str) -> list[Span]:
-    return _by_closer(text, lambda x: 0, _prefixes)
-
-
-def indented_spans(text: str, most: int = 3) -> list[Span]:
-    return _by_closer(text, lambda x: min(len(x) - len(x.lstrip(" ")), most), _prefixes)
-
-
-def component_spans(text: str) -> list[Span]:
-    """Closers of one sign are searched from each opener on; an opener without one ends the search for its length."""
-    lines = _lines(text)
-    heads = []
-    for a, b in lines:
-        x = text[a:b]
-        d = len(x) - len(x.lstrip(" \t"))
-        heads.append((d, _run(x, d), x[d:]))
-    bare: dict[str, list[tuple[int, int]]] = {"`": [], "~": []}
-    for n, (_, run, rest) in enumerate(heads):
-        if run and not rest[len(run) :].strip():
-            bare[run[0]].append((n, len(run)))
-    spans, n, hopeless = [], 0, {"`": 10**9, "~": 10**9}
-    at = {"`": 0, "~": 0}
-    while n < len(lines):
-        d, run, rest = heads[n]
-        if run and len(run) < hopeless[run[0]] and not (run[0] == "`" and "`" in rest[len(run) :]):
-            sign, ends = run[0], bare[run[0]]
-            while at[sign] < len(ends) and ends[at[sign]][0] <= n:
-                at[sign] += 1
-            k = at[sign]
-            while k < len(ends) and ends[k][1] < len(run):
-                k += 1
-            if k < len(ends):
-                spans.append((lines[n][0], lines[ends[k][0]][1]))
-                n = ends[k][0]
-            else:
-                hopeless[sign] = len(run)
-        n += 1
-    return spans
-
-
-def link_spans(text: str) -> list[Span]:
-    spans, start, fence = [], -1, ""
-    for a, b in _lines(text):
-        x = text[a:b]
-        d = len(x) - len(x.lstrip(" "))
-        run = _run(x, d) if d <= 3 else ""
-        if start < 0:
-            if run:
-                start, fence = a, run
-        elif run and run[0] == fence[0] and len(run) >= len(fence) and not x[d + len(run) :].strip():
-            spans.append((start, b))
-            start = -1
-    return [*spans, (start, len(text))] if start >= 0 else spans
-
-
-GRAMMARS: dict[str, Callable[[str], list[Span]]] = {"title": title_spans, "block": block_spans, "indented": indented_spans, "component": component_spans, "link": link_spans}
+_FENCE_LINE = re.compile(r"^(?P<pad>[ \t]*)(?P<run>`{3,}|~{3,})(?P<info>[^\n]*)$", re.M)
+
+
+class Fence(NamedTuple):
+    """A line that begins with a fence: where the line starts, what is before the run, the run, what is behind, where the line ends."""
+
+    start: int
+    pad: str
+    run: str
+    info: str
+    end: int
+
+
+class EqualRuns:
+    """The next closer of every run. An opener takes the longest of its own prefixes that closes anything."""
+
+    def __init__(self, longest: int | None = None) -> None:
+        self.longest, self.behind = longest, {}
+
+    def add(self, n: int, f: Fence) -> None:
+        self.behind[f.run] = n
+
+    def closer(self, f: Fence) -> int | None:
+        prefixes = (f.run[:size] for size in range(min(len(f.run), self.longest or len(f.run)), 2, -1))
+        return next((self.behind[p] for p in prefixes if p in self.behind), None)
+
+
+class LongerRuns:
+    """For each sign the closers that no longer one stands in front of, far and long ones first."""
+
+    def __init__(self) -> None:
+        self.sizes: dict[str, list[int]] = {"`": [], "~": []}  # negated, so that they ascend
+        self.places: dict[str, list[int]] = {"`": [], "~": []}
+
+    def add(self, n: int, f: Fence) -> None:
+        sizes, places = self.sizes[f.run[0]], self.places[f.run[0]]
+        while sizes and -sizes[-1] <= len(f.run):
+            sizes.pop()
+            places.pop()
+        sizes.append(-len(f.run))
+        places.append(n)
+
+    def closer(self, f: Fence) -> int | None:
+        k = bisect_right(self.sizes[f.run[0]], -len(f.run)) - 1
+        return self.places[f.run[0]][k] if k >= 0 else None
+
+
+@dataclass(frozen=True)
+class Grammar:
+    pad: re.Pattern[str]  # what may stand before a fence
+    closers: Callable[[], EqualRuns | LongerRuns]
+    blanks: str | None = " \t\r"  # what may stand behind a closer; None for all white space
+    with_pad: bool = False  # a span begins with its line, not with its fence
+    plain_info: bool = False  # an opener of backticks has none behind it
+    to_the_end: bool = False  # an opener without a closer is code up to the end
+
+    def spans(self, text: str) -> list[Span]:
+        if "```" not in text and "~~~" not in text:
+            return []
+        fences = [Fence(m.start(), m["pad"], m["run"], m["info"], m.end()) for m in _FENCE_LINE.finditer(text) if self.pad.fullmatch(m["pad"])]
+        closers, closed_by = self.closers(), [None] * len(fences)
+        for n in range(len(fences) - 1, -1, -1):
+            f = fences[n]
+            if not (self.plain_info and f.run[0] == "`" and "`" in f.info):
+                closed_by[n] = closers.closer(f)
+                if closed_by[n] is None and self.to_the_end:
+                    closed_by[n] = len(fences)
+            if not f.info.strip(self.blanks):
+                closers.add(n, f)
+        found, n = [], 0
+        while n < len(fences):
+            f, last = fences[n], closed_by[n]
+            if last is None:
+                n += 1
+                continue
+            found.append((f.start if self.with_pad else f.start + len(f.pad), fences[last].end if last < len(fences) else len(text)))
+            n = last + 1
+        return found
+
+
+_FLUSH, _UP_TO_THREE, _ANY = re.compile(""), re.compile(" {0,3}"), re.compile(r"[ \t]*")
+GRAMMARS: dict[str, Callable[[str], list[Span]]] = {
+    "title": Grammar(_FLUSH, lambda: EqualRuns(3)).spans,
+    "block": Grammar(_FLUSH, EqualRuns).spans,
+    "indented": Grammar(_UP_TO_THREE, EqualRuns).spans,
+    "component": Grammar(_ANY, LongerRuns, blanks=None, with_pad=True, plain_info=True).spans,
+    "link": Grammar(_UP_TO_THREE, LongerRuns, blanks=None, with_pad=True, to_the_end=True).spans,
+}
+title_spans, block_spans, indented_spans, component_spans, link_spans = GRAMMARS.values()
 
 
 def outside(text: str, spans: list[Span], change: Callable[[str], str]) -> str:

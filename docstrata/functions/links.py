@@ -27,25 +27,17 @@ _TICKS = re.compile(r"`+")
 
 def masked(line: str) -> str:
     """Inline code blanked out, at the same length: a run of backticks pairs with the next run as long."""
-    if "`" not in line:
-        return line
-    runs = [m.span() for m in _TICKS.finditer(line)]
-    ends: dict[int, list[int]] = {}
-    for k in range(len(runs) - 1, -1, -1):
-        ends.setdefault(runs[k][1] - runs[k][0], []).append(k)
-    out, at, k = [], 0, 0
-    while k < len(runs):
-        a, b = runs[k]
-        same = ends[b - a]
-        while same and same[-1] <= k:
-            same.pop()
-        if same:
-            k = same[-1]
-            end = runs[k][1]
-            out += (line[at:a], " " * (end - a))
-            at = end
-        k += 1
-    return "".join(out) + line[at:]
+    ticks = [m.span() for m in _TICKS.finditer(line)]
+    partner, nearest = [], {}  # seen from the end of the line
+    for a, b in reversed(ticks):
+        partner.append(nearest.get(b - a))
+        nearest[b - a] = b
+    seen, done = [], 0
+    for (a, _), end in zip(ticks, reversed(partner), strict=True):
+        if end is not None and a >= done:
+            seen += (line[done:a], " " * (end - a))
+            done = end
+    return "".join(seen) + line[done:]
 
 
 def links_of(text: str) -> list[tuple[int, str]]:

@@ -43,9 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where the setting is absent (tests)."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one only where the setting is absent on a local master (tests)."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="docstrata-")
         spark.conf.set("spark.checkpoint.dir", found)
         _staged.append((spark, found))

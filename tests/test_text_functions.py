@@ -1,3 +1,5 @@
+import random
+import re
 import time
 
 import pytest
@@ -118,3 +120,53 @@ def test_links(spark):
     once = links.rewritten("[x](/a/b#y) [z](https://s.t/q?r) [i](/) `[x](/a/b)`\n```\n[x](/a/b)\n```", "a/c", known, "https://s.t")
     assert once.startswith("[x](./b.md#y) [z](https://s.t/q?r) [i](../index.md)") and once.endswith("```\n[x](/a/b)\n```")
     assert links.rewritten(once, "a/c", known, "https://s.t") == once
+
+
+def _by_definition(text, grammar):
+    """Fenced blocks line by line, every opener looking ahead on its own."""
+    pad = {"title": "", "block": "", "indented": " {0,3}", "component": "[ \\t]*", "link": " {0,3}"}[grammar]
+    lines, starts, at = text.split("\n"), [], 0
+    for x in lines:
+        starts.append(at)
+        at += len(x) + 1
+    fence = [re.match(rf"({pad})(`{{3,}}|~{{3,}})(.*)\Z", x, re.S) for x in lines]
+    spans, n = [], 0
+    while n < len(lines):
+        m, last = fence[n], None
+        if m and not (grammar == "component" and m[2][0] == "`" and "`" in m[3]):
+            for run in [m[2][:3]] if grammar == "title" else [m[2][:k] for k in range(len(m[2]), 2, -1)] if grammar in ("block", "indented") else [None]:
+                closes = lambda c: c and not c[3].strip() and (c[2] == run if run else c[2][0] == m[2][0] and len(c[2]) >= len(m[2]))  # noqa: E731, B023
+                last = next((k for k in range(n + 1, len(lines)) if closes(fence[k])), None)
+                if last is not None:
+                    break
+            else:
+                last = len(lines) - 1 if grammar == "link" else None
+        if last is None:
+            n += 1
+            continue
+        spans.append((starts[n] + (0 if grammar in ("component", "link") else len(m[1])), starts[last] + len(lines[last])))
+        n = last + 1
+    return spans
+
+
+@pytest.mark.parametrize("grammar", fences.GRAMMARS)
+def test_fence_grammars_equal_their_definition(grammar):
+    r = random.Random(grammar)
+    for _ in range(3000):
+        text = "\n".join(r.choice(["", "", " ", "   ", "    ", "\t"]) + r.choice("`~x") * r.randrange(2, 6) + r.choice(["", "", "", " ", "js", "a`b"]) for _ in range(r.randrange(1, 9)))
+        assert fences.GRAMMARS[grammar](text) == _by_definition(text, grammar), text
+
+
+def test_masks_equal_their_definition():
+    r = random.Random(3)
+    for _ in range(3000):
+        line = "".join(r.choice(["`", "``", "```", "a", "b "]) for _ in range(r.randrange(1, 14)))
+        runs, want, k = [m.span() for m in re.finditer("`+", line)], line, 0
+        while k < len(runs):
+            a, b = runs[k]
+            same = next((j for j in range(k + 1, len(runs)) if runs[j][1] - runs[j][0] == b - a), None)
+            if same is not None:
+                want = want[:a] + " " * (runs[same][1] - a) + want[runs[same][1] :]
+                k = same
+            k += 1
+        assert links.masked(line) == want, line
