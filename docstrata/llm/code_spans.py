@@ -69,20 +69,16 @@ def inline_spans(text: str) -> list[Span]:
         return []
     spans: list[Span] = []
     for base, part in _paragraphs(text):
-        runs = [(m.start(), m.end()) for m in _RUN.finditer(part)]
-        later: dict[int, list[int]] = {}
-        for k, (a, b) in enumerate(runs):
-            later.setdefault(b - a, []).append(k)
-        nth, k = dict.fromkeys(later, 0), 0
-        while k < len(runs):
-            a, b = runs[k]
-            same = later[b - a]
-            while nth[b - a] < len(same) and same[nth[b - a]] <= k:
-                nth[b - a] += 1
-            if nth[b - a] < len(same):
-                k = same[nth[b - a]]
-                spans.append((base + a, base + runs[k][1]))
-            k += 1
+        runs = [m.span() for m in _RUN.finditer(part)]
+        partner, nearest = [], {}  # seen from the end of the paragraph
+        for a, b in reversed(runs):
+            partner.append(nearest.get(b - a))
+            nearest[b - a] = b
+        done = 0
+        for (a, _), end in zip(runs, reversed(partner), strict=True):
+            if end is not None and a >= done:
+                spans.append((base + a, base + end))
+                done = end
     return spans
 
 
