@@ -1,163 +1,116 @@
 """Template residue and error-page text.
 
-Lines are normalised and counted by host; the ones that recur through a host's records are boilerplate and are
-subtracted, unless they are evidence themselves. A record is excluded when it has an unfilled slot outside code, or when
-all its residual says (headings and tags aside) is an error or refusal message, filler, or a notice that scripts are
-needed.
+Lines are normalised and counted by host over its different bodies; the ones that recur through them are boilerplate and
+are subtracted, unless they are evidence themselves. A record is excluded when it has an unfilled slot outside code, or
+when all its residual says (headings and tags aside) is an error or refusal message, filler, or a notice that scripts are
+needed: at least one sentence is evidence and none is content (llm/evidence.py).
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType
 
+from docstrata.functions.scan import between, elements
 from docstrata.llm.code_spans import without_code
+from docstrata.llm.evidence import CONTENT, EVIDENCE, FUNCTION, MOCK_MARKS, judged, monotone, words_of
 from docstrata.llm.markup import FRONT, plain_lines
 from docstrata.llm.slots import HINT, has_slot
-from docstrata.functions.scan import between, elements
-from docstrata.runtime import small, staged
-
-# What refusals, errors, script notices and filler say, sentence by sentence, in en, de, es and fr.
-ERROR = r"""
-(?:http |error |fehler |erreur )?[1-5]\d\d\b.{0,90}
-(?:http|error|fehler|erreur) \d+\b.{0,90}
-internal (?:server )?error\b.{0,160}
-(?:.{0,40}\bpage |.{0,60} you (?:want|asked for|requested) )(?:could not be found|(?:was|is) not (?:found|here)|has been moved or no longer exists|does not exist|no longer exists)
-check the address or go back to the start
-(?:oops\b.{0,60}|go back home|back to the start)
-(?:page |file |resource )?not found
-.{0,30}\bnot here: page missing
-(?:access|permission) (?:denied|refused)\b.{0,40}|forbidden|unauthori[sz]ed
-you lack the rights .{0,60}
-(?:reference|incident|request|trace|ray|code|vorgang|dossier|código|case) [0-9a-z-]{4,40}
-your (?:address|network|account|ip) has been blocked
-write to the site owner.{0,40}
-unable to connect to .{0,40}
-something (?:broke|went wrong)\b.{0,40}
-we have been told and will look into it
-(?:the )?service (?:is )?(?:temporarily )?unavailable\b.{0,40}
-(?:your session has (?:run out|expired)|sign in again\b.{0,20})
-too many requests\b.{0,40}
-slow down and come back later|(?:please )?(?:try|come back) again (?:in|later)\b.{0,30}
-one moment, we are checking\b.{0,80}
-this site is (?:down|offline)\b.{0,40}
-we will be back\b.{0,30}
-upstream said: .{0,80}
-.{0,40}\btimed out after .{0,40}
-.{0,30}(?:gateway|upstream) gave no answer|bad gateway|gateway timeout
-prove that you are (?:a )?human\b.{0,80}
-zugriff verweigert|acceso denegado|accès refusé
-der dienst ist zurzeit nicht erreichbar|bitte später erneut versuchen
-diese seite gibt es nicht|zurück zum anfang
-el servicio no está disponible\b.{0,20}|inténtelo más tarde
-no encontramos esta página|volver al inicio
-le service est indisponible\b.{0,20}|revenez plus tard
-cette page est introuvable|retour au début
-at line \d+|error
-"""
-SCRIPT = r"""
-javascript is (?:disabled|off|required)\b.{0,40}|this (?:app|page|site|viewer) .{0,30}\b(?:without|needs?|requires?|only in browsers with)\b.{0,20}\b(?:java ?script|scripts?|js)\b.{0,20}
-(?:you need to |please )?(?:switch on|turn on|enable|allow|activate) (?:java ?script|scripts?|js)\b.{0,50}
-scripts appear to be blocked\b.{0,50}|sorry, .{0,60} client-side scripting
-(?:bitte )?aktivieren sie javascript\b.{0,40}|ohne skripte .{0,50}
-(?:veuillez activer|active) javascript\b.{0,40}|sans scripts?\b.{0,50}|sin scripts?\b.{0,50}
-enable it and reload|please allow them|loading|requires js
-"""
-FILLER = r"""
-tbd|todo|to do\b.{0,40}|coming soon|content pending|(?:your|the) text here
-(?:blah ?){2,}|(?:test ?){2,}\d*|(?:xxx ?){1,}(?:\w+ ?){0,2}(?:xxx ?)*
-.{0,20}description to be added|(?:dummy|sample|placeholder) (?:paragraph|text)\b.{0,50}
-this is (?:sample|dummy|placeholder) text\b.{0,60}
-text goes here|replace this (?:sentence|text)\b.{0,40}
-describe the .{1,40} here\b.{0,40}|add a short text about .{1,40}
-put the .{1,50} (?:example )?below|.{1,40} copy goes here
-this page (?:has been|is) (?:intentionally )?(?:left )?(?:empty|blank)\b.{0,60}
-your-page-here|undefined|null|nan
-"""
-#: The words of mock-Latin filler. A sentence is filler when all its words are of them.
-MOCK_LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore magna aliqua amerit cundit dolum esquia labori nortem obvenda parvenit quistel sultem trigo vandor".split())
-
-
-def _alternatives(*lists: str) -> re.Pattern[str]:
-    return re.compile("|".join(f"(?:{x})" for text in lists for x in text.strip().split("\n")))
-
+from docstrata.runtime import heavy_join, small, staged
 
-_EVIDENCE = _alternatives(ERROR, SCRIPT, FILLER)
-_SERIES = re.compile(rf"(?:{_alternatives(FILLER).pattern})(?:[\s.]+(?:{_EVIDENCE.pattern}))+")
 _ASIDE = r"title|h[1-6]|head|style|script"
 _TAG = re.compile(r"<[/!]?[A-Za-z][^<>]*>")
-_HEADING = re.compile(r"^(?: {0,3}#{1,6}[ \t][^\n]*|(={1,6})[ \t]*[^=\n]+?[ \t]*\1[ \t]*|\\(?:sub)*section\*?\{[^{}\n]*\}|[^\n]+\n {0,3}(?:={3,}|-{3,}))[ \t]*$", re.M)
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+|(?<=\w)\s-\s|\s(?=\(?(?:reference|incident|request|trace|ray|vorgang|dossier|código) [0-9a-f]{6,})")
-_WORD = re.compile(r"[^\W\d_]+")
-_BRACKET = re.compile(r"[()\[\]\"]")
-_CRUMB = " .!?:;,()[]\"'*_`-–—…>|#"
+_INLINE = re.compile(r"</?(?:a|abbr|b|big|em|font|i|mark|s|small|span|strong|sub|sup|u)(?=[\s>/])[^<>]*>", re.I)
+_CODE = re.compile(r"</?(?:code|kbd|samp|tt)(?=[\s>/])[^<>]*>", re.I)
+_HEADING = re.compile(r" {0,3}#{1,6}[ \t]|\\(?:sub)*section\*?\{[^{}]*\}[ \t]*\Z")
+_UNDERLINE = re.compile(r" {0,3}(?:={3,}|-{3,})[ \t]*\Z")
+_FENCE = re.compile(r"[ \t>]*(?:```|~~~)")
+_BREAK = re.compile(r"(?<=[.!?])[\"')\]]*\s+|(?<=\w)\s-\s")
+#: What shows code; it is content.
+SHOWN = "```"
+#: A run of words without an end is judged in parts of so many.
+PART = 40
+
+
+def _is_heading(line: str) -> bool:
+    if _HEADING.match(line):
+        return True
+    wiki = line.strip()
+    return wiki[:1] == "=" == wiki[-1:] and bool(wiki.strip("= \t"))
 
 
-def is_evidence(sentence: str) -> bool:
-    s = sentence.lower().strip(_CRUMB)
-    if not s:
-        return False
-    if _EVIDENCE.fullmatch(s):
-        return True
-    if len(s) < 300 and _SERIES.fullmatch(_BRACKET.sub("", s)):
-        return True
-    words = _WORD.findall(s)
-    return len(words) >= 2 and all(w in MOCK_LATIN for w in words)
-
-
-def _set_aside(text: str) -> str:
-    """Without comments and the elements that hold titles, styles and scripts."""
-    return elements(between(text, "<!--", "-->", lambda _: "\n"), _ASIDE, "\n") if "<" in text else text
-
-
-def _ends_in_content(text: str) -> bool:
-    """A quick yes: the last line of words outside headings has a sentence that is no evidence."""
-    if "<" in text:  # as the full pass sees it: tags end sentences, headings, comments, styles and scripts say nothing
-        text = _TAG.sub("\n", _set_aside(text))
-    below = ""
-    for line in reversed(text.rsplit("\n", 12)[1:]):
-        words = html.unescape(line)
-        if _WORD.search(words):
-            s = words.strip()
-            underlined = below and not below.strip("=- ")
-            if underlined or s[0] in "#=\\<" or s == "---" or ":" in s[:12]:
-                return False
-            first = _SENTENCE.split(s)[0]
-            return len(first.split()) >= 4 and not is_evidence(first) and not is_evidence(s)
-        below = line.strip()
-    return False
+def _parts(line: str) -> Iterator[str]:
+    for sentence in _BREAK.split(line):
+        if len(sentence) < 5 * PART:
+            yield sentence
+        else:
+            words = sentence.split()
+            yield from (" ".join(words[a : a + PART]) for a in range(0, len(words), PART))
 
 
-def says_nothing(text: str) -> bool:
-    """All the text says, headings and tags aside, is evidence. A text of headings only is none."""
+def sentences(text: str) -> Iterator[str]:
+    """The sentences of a text outside front matter, comments, titles, headings, styles and scripts; block tags end sentences."""
     text = plain_lines(text)
-    if _ends_in_content(text):
-        return False
     if text.startswith("---"):
         text = FRONT.sub("", text, count=1)
-    text = html.unescape(_TAG.sub("\n", _set_aside(text)))
-    text = _HEADING.sub("\n", text)
+    if "<" in text:
+        text = elements(between(text, "<!--", "-->", lambda _: "\n"), _ASIDE, "\n")
+        text = _TAG.sub("\n", _CODE.sub("`", _INLINE.sub("", text)))
+    above = ""
+    for line in text.split("\n"):
+        if above and not _UNDERLINE.match(line):
+            yield from _parts(above)
+        above = ""
+        if _FENCE.match(line):
+            yield SHOWN
+        elif not _is_heading(line) and not _UNDERLINE.match(line):
+            above = html.unescape(line).strip() if "&" in line else line.strip()
+    if above:
+        yield from _parts(above)
+
+
+def says_nothing(text: str) -> bool:
+    """At least one sentence is evidence and none is content. A text of headings only says nothing of either kind: it is no residue."""
+    low = text.lower()
+    marked = any(m in low for m in MOCK_MARKS)
     any_evidence = False
-    for sentence in _SENTENCE.split(text):
-        s = (sentence or "").strip().strip(_CRUMB)
-        if not s or s == "=":
-            continue
-        if not is_evidence(s):
-            return False
-        any_evidence = True
+    for sentence in sentences(text):
+        kind = CONTENT if sentence == SHOWN else judged(sentence, marked)
+        if kind == CONTENT:
+            if marked or sentence == SHOWN or not FUNCTION.isdisjoint(words_of(sentence)) or not monotone([w for x in sentences(text) for w in words_of(x)]):
+                return False
+            marked, kind = True, judged(sentence, True)
+            if kind == CONTENT:
+                return False
+        any_evidence |= kind == EVIDENCE
     return any_evidence
 
 
-def is_residue(body: str | None, residual: str | None) -> bool:
-    """The verdict on a record, from its body and what is left of it without boilerplate lines."""
-    if body is not None and has_slot(without_code(plain_lines(body))[0]):
+@functools.lru_cache(100_000)
+def _line_says_nothing(line: str) -> bool:
+    return says_nothing(line)
+
+
+def residual(body: str, recurrent: list[int]) -> str:
+    """The body without its recurrent lines (numbers of lines, from 0), save those that are evidence themselves."""
+    drop = frozenset(recurrent)
+    return "\n".join(x for n, x in enumerate(body.split("\n")) if n not in drop or _line_says_nothing(x))
+
+
+def is_residue(body: str | None, slotted: bool = True, recurrent: list[int] | None = None) -> bool:
+    """The verdict on a record. slotted: the body may have a slot; recurrent: numbers of its boilerplate lines."""
+    if body is None:
+        return False
+    if slotted and has_slot(without_code(plain_lines(body))[0]):
         return True
-    return residual is not None and says_nothing(residual)
+    return says_nothing(body if recurrent is None or not len(recurrent) else residual(body, recurrent))
 
 
 #: A slug in any spelling: path segments of letters, digits and simple signs.
@@ -173,20 +126,12 @@ def is_bad_element(element: str | None) -> bool:
         return True
     if _SLUG.match(element):
         return False
-    if says_nothing(element):
-        return True
-    words = _WORD.findall(element.lower())
-    return bool(words) and all(w in MOCK_LATIN for w in words)
+    return says_nothing(element)
 
 
 @F.pandas_udf(BooleanType())
-def _residue_udf(body: pd.Series, residual: pd.Series) -> pd.Series:
-    return pd.Series([is_residue(b, r) for b, r in zip(body, residual, strict=True)], dtype="boolean")
-
-
-@F.pandas_udf(BooleanType())
-def _evidence_udf(line: pd.Series) -> pd.Series:
-    return pd.Series([says_nothing(x) if x else False for x in line], dtype="boolean")
+def _residue_udf(body: pd.Series, slotted: pd.Series, recurrent: pd.Series) -> pd.Series:
+    return pd.Series([is_residue(b, s, r) for b, s, r in zip(body, slotted, recurrent, strict=True)], dtype="boolean")
 
 
 @F.pandas_udf(ArrayType(BooleanType()))
@@ -194,21 +139,31 @@ def _elements_udf(elements: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else [is_bad_element(e) for e in x] for x in elements])
 
 
-def normal_line(line: Column) -> Column:
-    """A line as it is counted: lower case, runs of digits as 0, of blanks as one blank."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\d+", "0"), r"\s+", " "))
+#: A line recurs when it is in at least RECURS_IN different bodies, and the lower bound (at CONFIDENCE standard errors) of its share of them is at least the asked one.
+RECURS_IN, CONFIDENCE = 3, 1.96
+
+
+def line_hashes(body: Column) -> Column:
+    """array of the hashes of the normalised lines: lower case, runs of digits as 0, of blanks as one blank. Blank lines are 0."""
+    normal = F.regexp_replace(F.regexp_replace(F.lower(body), r"\d+", "0"), r"[ \t\r\f]+", " ")
+    return F.transform(F.split(normal, "\n"), lambda x: F.when(F.trim(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(F.trim(x))))
 
 
-def boilerplate(docs: DataFrame, host: str, body: str, share: float = 0.02, least: int = 10) -> DataFrame:
-    """(host, recurrent): hashes of the lines that occur in at least that share of a host's records, and in `least`.
+def boilerplate(docs: DataFrame, host: str, body: str, share: float = 0.02) -> DataFrame:
+    """(host, records, recurrent): of each host the number of its records and the sorted hashes of its recurrent lines.
 
-    A host has at most (mean lines of a record) / share of them. Lines that are evidence are not boilerplate.
+    Copies of a body count once. A host has at most (mean lines of a body) / share recurrent lines; one with fewer than
+    three different bodies has none, as nothing recurs in them. Null hosts and bodies have no row.
     """
-    lines = docs.where(F.col(body).isNotNull()).select(host, F.explode(F.array_distinct(F.transform(F.split(body, r"\r?\n"), normal_line))).alias("line"))
-    totals = docs.where(F.col(body).isNotNull()).groupBy(host).agg(F.count("*").alias("records"))
-    counted = lines.where("line <> ''").groupBy(host, F.xxhash64("line").alias("h")).agg(F.count("*").alias("n"), F.first("line").alias("line"))
-    often = counted.where(F.col("n") >= least).join(small(totals), host).where(F.col("n") >= share * F.col("records"))
-    return often.where(~_evidence_udf("line")).groupBy(host).agg(F.sort_array(F.collect_set("h")).alias("recurrent"))
+    known = docs.where(F.col(body).isNotNull() & F.col(host).isNotNull())
+    marked = known.select(host, F.xxhash64(body).alias("__b"), F.array_distinct(line_hashes(F.col(body))).alias("__lines"))
+    totals = known.groupBy(host).agg(F.count_distinct(F.xxhash64(body)).alias("__of"), F.count("*").alias("records"))
+    counted = marked.select(host, "__b", F.explode("__lines").alias("h")).where("h <> 0").groupBy(host, "h").agg(F.count_distinct("__b").alias("n")).where(F.col("n") >= RECURS_IN)
+    of, z = F.col("__of"), CONFIDENCE
+    p = F.col("n") / of
+    least = (p + z * z / (2 * of) - z * F.sqrt(p * (1 - p) / of + z * z / (4 * of * of))) / (1 + z * z / of)
+    often = counted.join(small(totals), host).where(least >= share)
+    return totals.select(host, "records").join(small(often.groupBy(host).agg(F.sort_array(F.collect_list("h")).alias("recurrent"))), host, "left")
 
 
 def residue_records(docs: DataFrame, key: str, host: str, body: str) -> DataFrame:
@@ -217,12 +172,17 @@ def residue_records(docs: DataFrame, key: str, host: str, body: str) -> DataFram
     Records without a host have no boilerplate; repeated records are judged alike; an empty body says nothing and is none.
     """
     docs = docs.drop("is_residue")
-    found = staged(boilerplate(docs.select(host, body), host, body), "boilerplate")  # it is counted before it is broadcast
-    known = small(found.select(F.col(host).alias("__host"), F.col("recurrent").alias("__recurrent")))
-    lines = F.split(body, r"\r?\n")
-    residual = F.when(F.col("__recurrent").isNull(), F.col(body)).otherwise(F.array_join(F.filter(lines, lambda x: ~F.array_contains("__recurrent", F.xxhash64(normal_line(x)))), "\n"))
-    slotted = F.when(F.col(body).rlike(HINT), F.col(body))
-    return docs.join(known, F.col(host) == F.col("__host"), "left").withColumn("is_residue", _residue_udf(slotted, residual)).drop("__host", "__recurrent")
+    found = staged(boilerplate(docs.select(host, body), host, body), "boilerplate").withColumnsRenamed({host: "__host", "recurrent": "__recurrent", "records": "__n"})
+    judge = _residue_udf.asNondeterministic()  # else a filter on the verdict runs it again
+    lines = line_hashes(F.col(body))
+    places = F.when(F.col("__recurrent").isNotNull(), F.filter(F.transform(lines, lambda x, n: F.when(F.array_contains("__recurrent", x), n)), lambda n: n.isNotNull()))
+    verdict = lambda rows: rows.withColumn("is_residue", judge(F.col(body), F.coalesce(F.col(body).rlike(HINT), F.lit(False)), places)).drop("__host", "__recurrent", "__n")
+    known = small(found)
+    if known is not found:
+        return verdict(docs.join(known, F.col(host) == F.col("__host"), "left"))
+    alone = docs.where(F.col(host).isNull() | F.col(body).isNull()).withColumn("__recurrent", F.lit(None).cast("array<bigint>"))
+    shared = heavy_join(docs.where(F.col(body).isNotNull()).withColumn("__host", F.col(host)), found, ["__host"], "__n")
+    return verdict(alone).unionByName(verdict(shared))
 
 
 def bad_elements(records: DataFrame, key: str, elements: str) -> DataFrame:
