@@ -145,7 +145,7 @@ RECURS_IN, CONFIDENCE = 3, 1.96
 
 def line_hashes(body: Column) -> Column:
     """array of the hashes of the normalised lines: lower case, runs of digits as 0, of blanks as one blank. Blank lines are 0."""
-    normal = F.regexp_replace(F.regexp_replace(F.lower(body), r"\d+", "0"), r"[ \t\r\f]+", " ")
+    normal = F.regexp_replace(F.regexp_replace(F.lower(body), r"\d+", "0"), r" [ \t\r\f]+|[\t\r\f]+ *", " ")
     return F.transform(F.split(normal, "\n"), lambda x: F.when(F.trim(x) == "", F.lit(0).cast("long")).otherwise(F.xxhash64(F.trim(x))))
 
 
@@ -157,8 +157,9 @@ def boilerplate(docs: DataFrame, host: str, body: str, share: float = 0.02) -> D
     """
     known = docs.where(F.col(body).isNotNull() & F.col(host).isNotNull())
     marked = known.select(host, F.xxhash64(body).alias("__b"), F.array_distinct(line_hashes(F.col(body))).alias("__lines"))
-    totals = known.groupBy(host).agg(F.count_distinct(F.xxhash64(body)).alias("__of"), F.count("*").alias("records"))
+    totals = staged(known.groupBy(host).agg(F.count_distinct(F.xxhash64(body)).alias("__of"), F.count("*").alias("records")), "hosts")
     counted = marked.select(host, "__b", F.explode("__lines").alias("h")).where("h <> 0").groupBy(host, "h").agg(F.count_distinct("__b").alias("n")).where(F.col("n") >= RECURS_IN)
+    counted = staged(counted, "recurrent-lines")
     of, z = F.col("__of"), CONFIDENCE
     p = F.col("n") / of
     least = (p + z * z / (2 * of) - z * F.sqrt(p * (1 - p) / of + z * z / (4 * of * of))) / (1 + z * z / of)
