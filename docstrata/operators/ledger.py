@@ -1,9 +1,14 @@
 """Processing only new or changed records.
 
-``WorkLedger`` is the record of work items (runs): pending, leased, done. Every transition is one numbered file of an
-append-only log, created exclusively, so of two writers one loses and reads again. Leases carry an expiry, after which
-the item is pending again, and a fencing token; completing with a token that is no longer the item's is refused.
-Output goes to a path that depends on the item only, so a retry replaces what the failed attempt left.
+``WorkLedger`` is the record of work items: pending, leased, done. Every transition is one numbered file of an append-only
+log, created exclusively, so of two writers one loses and reads again; now and then the whole state is written beside it, so
+that opening reads the last state and what came after. Leases carry an expiry, after which the item is pending again, and a
+fencing token. A lease writes to a folder of its token, whatever is tried again within it, and only the tokens of
+completed leases are ever read: a worker whose lease ran out can write what it likes.
+
+``ChangeFeed`` is the processing of a feed of entries by successful runs. Its work items are the runs. It keeps the standing
+entry of each page as the lease outputs themselves, merged from time to time, and reads of the feed only what arrived
+since the source's last done run.
 """
 
 from __future__ import annotations
@@ -14,14 +19,16 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata.functions.canonical import digest, instant
 from docstrata.operators.snapshots import successful_runs
-from docstrata.runtime import filesystem, small
+from docstrata.runtime import filesystem, small, staged
 
 PENDING, LEASED, DONE = "pending", "leased", "done"
+#: Transitions between two written states, and leases between two merges of their outputs.
+STATE_EVERY, MERGE_EVERY = 100, 16
 
 
 class StaleLease(RuntimeError):
@@ -51,24 +58,37 @@ class WorkLedger:
     _items: dict[str, _Item] = field(default_factory=dict)
     _token: int = 0
     _next: int = 0
+    _merged: int = 0  # the token whose merge holds all outputs before it, 0 for none
+    _covered: frozenset[int] = frozenset()
+
+    def __post_init__(self) -> None:
+        self.root = self.root.rstrip("/")
+        fs, at = filesystem(self.spark, f"{self.root}/states")
+        numbers = [int(s.getPath().getName().removesuffix(".json")) for s in fs.listStatus(at)] if fs.exists(at) else []
+        if numbers:
+            kept = json.loads(self._text(f"{self.root}/states/{max(numbers):012d}.json"))
+            self._items = {i: _Item(*x) for i, x in kept["items"].items()}
+            self._token, self._next, self._merged, self._covered = kept["token"], max(numbers), kept["merged"], frozenset(kept["covered"])
+
+    def _text(self, path: str) -> str:
+        fs, at = filesystem(self.spark, path)
+        stream = fs.open(at)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
-    def _log(self, n: int):
-        return filesystem(self.spark, f"{self.root}/log/{n:012d}.json")
+    def _log(self, n: int) -> str:
+        return f"{self.root}/log/{n:012d}.json"
 
     def refresh(self) -> None:
         """Applies the log entries that were added since the last call."""
         while True:
-            fs, at = self._log(self._next)
+            path = self._log(self._next)
+            fs, at = filesystem(self.spark, path)
             if not fs.exists(at):
                 return
-            stream = fs.open(at)
-            try:
-                text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            finally:
-                stream.close()
-            if not text.endswith("\n"):
-                return  # being written, or its writer died: see _append
-            self._apply(json.loads(text))
+            self._apply(json.loads(self._text(path)))
             self._next += 1
 
     def _apply(self, e: dict) -> None:
@@ -82,6 +102,27 @@ class WorkLedger:
         elif e["do"] == "done":
             for i in e["items"]:
                 self._items[i].state = DONE
+        elif e["do"] == "merge":
+            self._merged, self._covered = e["token"], frozenset(e["covers"])
+
+    def _write_new(self, path: str, content: dict) -> bool:
+        """Whole files appear at once, and never over another: False where there is one."""
+        _, at = filesystem(self.spark, path)
+        fs, tmp = filesystem(self.spark, f"{self.root}/tmp/{at.getName()}-{time.time_ns()}")
+        out = fs.create(tmp, True)
+        out.write(bytearray((json.dumps(content) + "\n").encode()))
+        out.close()
+        fs.mkdirs(at.getParent())
+        gateway, hadoop = self.spark.sparkContext._gateway, self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(at.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            context.rename(tmp, at, gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
+            return True
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in str(e.java_exception):
+                raise
+            fs.delete(tmp, False)
+            return False
 
     def _append(self, entry: Callable[[], dict | None]) -> dict | None:
         """Writes what entry() says of the present state; where another writer was first, says it again."""
@@ -89,28 +130,14 @@ class WorkLedger:
             self.refresh()
             if (e := entry()) is None:
                 return None
-            fs, at = self._log(self._next)
-            whole, tmp = (json.dumps(e) + "\n").encode(), f"{self.root}/tmp/{self._next:012d}-{time.time_ns()}"
-            _, tmp_at = filesystem(self.spark, tmp)
-            out = fs.create(tmp_at, True)
-            out.write(bytearray(whole))
-            out.close()
-            fs.mkdirs(at.getParent())
-            if self._renamed(tmp_at, at):  # whole files appear at once, and never over another
+            n = self._next
+            if self._write_new(self._log(n), e):
                 self.refresh()
+                if n % STATE_EVERY == STATE_EVERY - 1:
+                    state = {"items": {i: [x.state, x.token, x.until] for i, x in self._items.items()}, "token": self._token, "merged": self._merged, "covered": sorted(self._covered)}
+                    if self._next == n + 1:  # else another writer is further on, and this state has no number
+                        self._write_new(f"{self.root}/states/{self._next:012d}.json", state)
                 return e
-            fs.delete(tmp_at, False)
-
-    def _renamed(self, source, target) -> bool:
-        gateway, hadoop = self.spark.sparkContext._gateway, self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        context = hadoop.FileContext.getFileContext(target.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        try:
-            context.rename(source, target, gateway.new_array(getattr(hadoop, "Options$Rename"), 0))
-            return True
-        except Py4JJavaError as e:
-            if "FileAlreadyExistsException" in str(e.java_exception):
-                return False
-            raise
 
     def add(self, items: Iterable[str]) -> None:
         wanted = list(dict.fromkeys(items))
@@ -129,10 +156,15 @@ class WorkLedger:
         self.refresh()
         return [i for i in self._items if self.state(i) == DONE]
 
-    def lease(self, most: int, seconds: float) -> Lease | None:
-        """The first pending items, up to most, under a new token; None if there are none."""
+    def published(self) -> list[int]:
+        """The tokens of completed leases."""
+        self.refresh()
+        return sorted({x.token for x in self._items.values() if x.state == DONE})
+
+    def lease(self, most: int, seconds: float, ready: Callable[[str], bool] = lambda _: True) -> Lease | None:
+        """The first pending items that are ready, up to most, under a new token; None if there are none."""
         def entry() -> dict | None:
-            some = [i for i in self._items if self.state(i) == PENDING][:most]
+            some = [i for i in self._items if self.state(i) == PENDING and ready(i)][:most]
             return {"do": "lease", "items": some, "token": self._token + 1, "until": self.now() + seconds} if some else None
 
         e = self._append(entry)
@@ -148,48 +180,110 @@ class WorkLedger:
 
         self._append(entry)
 
-    def process(self, work: Callable[[tuple[str, ...]], DataFrame], item_column: str, most: int = 1000, seconds: float = 3600) -> str:
-        """Leases until nothing is pending; work(items) gives rows whose item_column says the item. Returns the table's path."""
-        path = f"{self.root}/data"
-        while lease := self.lease(most, seconds):
-            rows = work(lease.items)
-            rows = rows.hint("rebalance", item_column)
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(item_column).parquet(path)
-            self.complete(lease)
-        return path
+    def output(self, token: int, merged: bool = False) -> str:
+        return f"{self.root}/{'merged' if merged else 'data'}/token={token}"
+
+    def process(self, lease: Lease, rows: DataFrame) -> None:
+        """Writes the rows under the lease's token and publishes them by completing it. Trying again within the lease replaces them."""
+        rows.write.mode("overwrite").parquet(self.output(lease.token))
+        self.complete(lease)
+
+    def read(self, schema: str) -> DataFrame:
+        """All published rows."""
+        paths = [self.output(t) for t in self.published()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def merged(self, schema: str) -> DataFrame:
+        """All published rows, those before the last merge in their merged form."""
+        paths = [self.output(t) for t in self.published() if t not in self._covered] + ([self.output(self._merged, merged=True)] if self._merged else [])
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def merge(self, token: int, fold: Callable[[DataFrame], DataFrame], schema: str) -> None:
+        """Writes the fold of all published rows under the token of the caller's completed lease; merged() reads it from then on."""
+        covers = self.published()
+        fold(self.merged(schema)).write.mode("overwrite").parquet(self.output(token, merged=True))
+        self._append(lambda: {"do": "merge", "token": token, "covers": covers} if set(covers) >= self._covered else None)
 
 
-def standing_changes(entries: DataFrame, runs: DataFrame) -> DataFrame:
-    """(run_id, entry_id): the entries that each successful run of a source must process.
+STANDING = "run_id long, source string, slug string, updated timestamp, entry_id long, digest binary, is_due boolean"
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    best = F.max(F.struct("updated", "entry_id", "digest", "run_id", "is_due"))
+    return rows.groupBy("source", "slug").agg(best.alias("b")).select("b.run_id", "source", "slug", "b.updated", "b.entry_id", "b.digest", "b.is_due")
+
+
+class ChangeFeed:
+    """What each successful run of a source takes from a feed of entries: (run_id, entry_id) of the new and changed ones.
 
     At a run the standing entry of a page is, of its rows with a hash that had arrived when the run started, the one
     updated last (then the largest entry_id). It is due when the page had none at the previous successful run, or one
-    with another digest. Rows with null source, slug, hash or arrived_at are never due; repeated rows count once.
+    with another digest. Rows with null source, slug, hash or arrived_at are never due; repeated rows count once; a run
+    without a start takes nothing. The feed is append-only by arrived_at.
     """
-    ok = successful_runs(runs)
-    starts = ok.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("started", "run_id"))).alias("starts"))
-    entries = entries.select("entry_id", "source", "slug", "hash", "last_updated", "arrived_at")
-    rows = entries.join(small(starts), "source").select("source", "slug", "entry_id", digest(F.col("hash")).alias("digest"), F.coalesce(instant(F.col("last_updated")), F.col("arrived_at")).alias("updated"), (F.size(F.filter("starts", lambda s: s["started"] < F.col("arrived_at"))) + 1).alias("seq"), F.size("starts").alias("last_seq"))
-    rows = rows.where("digest is not null and slug is not null and updated is not null and seq <= last_seq")
-    best = rows.groupBy("source", "slug", "seq").agg(F.max(F.struct("updated", "entry_id", "digest")).alias("best"))
-    by_page = Window.partitionBy("source", "slug").orderBy("seq")
-    standing = best.withColumn("best", F.max("best").over(by_page.rowsBetween(Window.unboundedPreceding, 0)))
-    due = standing.withColumn("before", F.lag("best").over(by_page)).where("before is null or before.digest <> best.digest")
-    return due.join(small(ok.select("source", "seq", "run_id")), ["source", "seq"]).select("run_id", F.col("best.entry_id").alias("entry_id"))
+
+    def __init__(self, spark: SparkSession, root: str, lease_seconds: float = 3600) -> None:
+        self.spark, self.ledger, self.seconds = spark, WorkLedger(spark, root), lease_seconds
+
+    def intake(self, entries: DataFrame, backlog: DataFrame) -> DataFrame:
+        """(wave, run_id, source, slug, updated, entry_id, digest): per run of the backlog the newest row of each page that arrived for it.
+
+        backlog has (source, after, runs): the start of the last done run, and the (started, run_id) still to do in order.
+        """
+        rows = entries.select("entry_id", "source", "slug", "hash", "last_updated", "arrived_at").where(F.col("arrived_at").isNotNull() & F.col("slug").isNotNull() & F.col("hash").isNotNull())
+        numbered = F.transform("runs", lambda r, n: F.struct(r["run_id"].alias("run_id"), r["started"].alias("started"), (n + 1).alias("wave")))
+        first = F.get(F.filter(numbered, lambda r: r["started"] >= F.col("arrived_at")), F.lit(0))
+        known = rows.join(small(backlog), "source").where(F.col("after").isNull() | (F.col("arrived_at") > F.col("after")))
+        updated = F.coalesce(instant(F.col("last_updated")), F.col("arrived_at"))
+        taken = known.select("source", "slug", "entry_id", digest(F.col("hash")).alias("digest"), updated.alias("updated"), first.alias("run")).where("run is not null and digest is not null")
+        best = F.max(F.struct("updated", "entry_id", "digest"))
+        return taken.groupBy("source", "slug", F.col("run.wave").alias("wave"), F.col("run.run_id").alias("run_id")).agg(best.alias("b")).select("wave", "run_id", "source", "slug", "b.updated", "b.entry_id", "b.digest")
+
+    def take(self, entries: DataFrame, runs: DataFrame) -> int:
+        """Processes all runs that are not done, each source's next one at a time. The number of feed rows read is returned."""
+        ok = successful_runs(runs).where("started is not null").orderBy("started", "run_id").select("run_id", "source", "started").collect()  # runs, not records
+        ledger, chains = self.ledger, {}
+        for r in ok:
+            chains.setdefault(r.source, []).append(r)
+        ledger.add(str(r.run_id) for r in ok)
+        done = set(ledger.done())
+        before = {str(b.run_id): str(a.run_id) for chain in chains.values() for a, b in zip(chain, chain[1:], strict=False)}
+        backlog = [(s, max((r.started for r in chain if str(r.run_id) in done), default=None), [(r.started, r.run_id) for r in chain if str(r.run_id) not in done]) for s, chain in chains.items()]
+        backlog = [b for b in backlog if b[2]]
+        if not backlog:
+            return 0
+        since = None if any(b[1] is None for b in backlog) else min(b[1] for b in backlog)
+        table = self.spark.createDataFrame(backlog, "source string, after timestamp, runs array<struct<started: timestamp, run_id: long>>")
+        seen = Observation()
+        feed = entries if since is None else entries.where(F.col("arrived_at") > F.lit(since))  # reaches the scan
+        batches = staged(self.intake(feed.observe(seen, F.count(F.lit(1)).alias("rows")), table), "intake", partition_by="wave")
+        waves = {str(r[1]): n for _, _, todo in backlog for n, r in enumerate(todo, 1)}
+        ready = lambda i: i in waves and (i not in before or ledger.state(before[i]) == DONE)
+        while lease := ledger.lease(len(waves), self.seconds, ready):
+            mine = batches.where(F.col("wave").isin(sorted({waves[i] for i in lease.items}))).join(F.broadcast(self.spark.createDataFrame([(int(i),) for i in lease.items], "run_id long")), "run_id")
+            ledger.process(lease, self.changed(mine))
+            if len(set(ledger.published()) - ledger._covered) >= MERGE_EVERY:
+                ledger.merge(lease.token, _newest, STANDING)
+        return seen.get["rows"]
+
+    def changed(self, batch: DataFrame) -> DataFrame:
+        """The rows of a batch that become the standing entry of their page, is_due where the digest is another. Of the standing table only the pages of the batch take part."""
+        keys = small(batch.select("source", "slug"))
+        standing = self.ledger.merged(STANDING).join(keys, ["source", "slug"], "left_semi")
+        entry = F.struct("updated", "entry_id", "digest")
+        both = batch.select("source", "slug", "run_id", entry.alias("new"), F.lit(None).cast("struct<updated: timestamp, entry_id: long, digest: binary>").alias("old"))
+        both = both.unionByName(standing.select("source", "slug", F.lit(None).cast("long").alias("run_id"), F.lit(None).cast("struct<updated: timestamp, entry_id: long, digest: binary>").alias("new"), entry.alias("old")))
+        merged = both.groupBy("source", "slug").agg(F.max("run_id").alias("run_id"), F.max("new").alias("new"), F.max("old").alias("old"))
+        ahead = merged.where("new is not null and (old is null or new > old)")
+        return ahead.select("run_id", "source", "slug", "new.updated", "new.entry_id", "new.digest", (F.col("old").isNull() | (F.col("old.digest") != F.col("new.digest"))).alias("is_due"))
+
+    def due(self) -> DataFrame:
+        """(run_id, entry_id) of all done runs."""
+        return self.ledger.read(STANDING).where("is_due").select("run_id", "entry_id")
 
 
 def due_entries(spark: SparkSession, entries: DataFrame, runs: DataFrame, root: str) -> DataFrame:
-    """standing_changes of every successful run that the ledger below root has not done, with those done before."""
-    ledger = WorkLedger(spark, root)
-    ledger.add(str(r.run_id) for r in successful_runs(runs).orderBy("started", "run_id").select("run_id").toLocalIterator())
-    def work(items: tuple[str, ...]) -> DataFrame:
-        wanted = spark.createDataFrame([(int(i),) for i in items], "run_id long")
-        return standing_changes(entries, runs).join(small(wanted), "run_id", "left_semi")
-
-    path = ledger.process(work, "run_id")
-    fs, at = filesystem(spark, path)
-    if not fs.exists(at):
-        return spark.createDataFrame([], "run_id long, entry_id long")
-    rows = spark.read.schema("entry_id long, run_id long").parquet(path)
-    finished = spark.createDataFrame([(int(i),) for i in ledger.done()], "run_id long")
-    return rows.join(small(finished), "run_id", "left_semi").select("run_id", "entry_id")
+    """Takes what is new for the runs that the ledger below root has not done; (run_id, entry_id) of these and the runs done before."""
+    feed = ChangeFeed(spark, root)
+    feed.take(entries, runs)
+    return feed.due()

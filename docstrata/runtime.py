@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a side may be broadcast; beyond it the join is left to shuffle.
 BROADCAST_ROWS = 100_000
+#: Bytes up to which it may.
+BROADCAST_BYTES = 64 << 20
 #: A key is heavy when it has more than this share of all rows, so there are at most 1/HEAVY_SHARE of them.
 HEAVY_SHARE = 0.001
 
@@ -78,16 +80,21 @@ def _clean() -> None:
     _staged.clear()
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Cut the lineage: the rows as a table in the shared folder, which survives the loss of executors."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint where the side is proven to have at most that many rows, else the side as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint where the side is proven to have at most that many rows and bytes, else the side as it is.
+
+    The side is run once for this: pass a staged frame where that is dear. Bytes are those of the rows as text of JSON,
+    which is no less than what a broadcast holds of strings and arrays.
+    """
+    counted = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if counted.n <= rows and counted.size <= size else df
 
 
 def heavy_join(big: DataFrame, keyed: DataFrame, on: Sequence[str], n: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docstrata.functions import links
-from docstrata.operators.ledger import standing_changes
+from docstrata.operators.ledger import ChangeFeed
 from docstrata.operators.snapshots import snapshots
 
 
@@ -31,8 +31,9 @@ def tables(spark, tmp_path):
 def test_only_needed_columns_are_read(tables):
     text = plan(snapshots(tables("files"), tables("runs")))
     assert "extra0" not in text and "title" not in text
-    text = plan(standing_changes(tables("entries"), tables("runs")))
-    assert "extra0" not in text and not re.search("CartesianProduct|NestedLoop", text)
+    backlog = tables("entries").selectExpr("source", "arrived_at as after", "array(struct(arrived_at as started, entry_id as run_id)) as runs")
+    text = plan(ChangeFeed.intake(None, tables("entries").where("arrived_at > timestamp'2025-01-01'"), backlog))
+    assert "extra0" not in text and not re.search("CartesianProduct|NestedLoop", text) and re.search(r"PushedFilters: \[[^\]]*GreaterThan\(arrived_at", text)
 
 
 def test_filters_reach_the_scan(tables):
