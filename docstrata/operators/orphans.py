@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docstrata.functions.canonical import plain_slug, stripped
+from docstrata.functions.search import at_or_before
 from docstrata.operators.snapshots import successful_runs
 from docstrata.runtime import heavy_join, small, staged
 
@@ -28,8 +29,7 @@ def clock(times: DataFrame) -> DataFrame:
 
 def slotted(rows: DataFrame, ticks: DataFrame, at: str) -> DataFrame:
     """Adds slot: how many ticks of the row's domain are at or before its time (0 for unknown domains)."""
-    upto = F.filter("ticks", lambda t: t <= F.col(at))
-    return rows.join(small(ticks), "domain", "left").withColumn("slot", F.coalesce(F.size(upto), F.lit(0))).drop("ticks")
+    return rows.join(small(ticks), "domain", "left").withColumn("slot", F.coalesce(at_or_before(F.col("ticks"), F.col(at)), F.lit(0))).drop("ticks")
 
 
 def orphan_slots(references: DataFrame, deltas: DataFrame) -> DataFrame:
@@ -61,13 +61,15 @@ def page_deltas(files: DataFrame, runs: DataFrame) -> DataFrame:
     """
     ok = successful_runs(runs, "completed").where("completed is not null")
     rows = files.select("run_id", plain_slug(F.col("slug")).alias("key")).where("key is not null").join(small(ok.select("run_id", "source", "seq", "last_seq")), "run_id")
-    pages = rows.groupBy(F.col("source").alias("domain"), "key", "last_seq").agg(F.collect_set("seq").alias("seqs"))
-    ends = F.array_except(F.transform("seqs", lambda s: s + 1), F.col("seqs"))
-    starts = F.array_except(F.col("seqs"), F.transform("seqs", lambda s: s + 1))
-    moves = F.concat(F.transform(starts, lambda s: F.named_struct(F.lit("seq"), s, F.lit("delta"), F.lit(1))), F.transform(F.filter(ends, lambda s: s <= F.col("last_seq")), lambda s: F.named_struct(F.lit("seq"), s, F.lit("delta"), F.lit(-1))))
+    pages = rows.repartition("source", "key").select(F.col("source").alias("domain"), "key", "seq", "last_seq").distinct()
+    of_page = Window.partitionBy("domain", "key").orderBy("seq")
+    appears = ~F.lag("seq").over(of_page).eqNullSafe(F.col("seq") - 1)
+    goes = (F.col("seq") < F.col("last_seq")) & ~F.lead("seq").over(of_page).eqNullSafe(F.col("seq") + 1)
+    moves = F.array(F.when(appears, F.struct(F.col("seq"), F.lit(1).alias("delta"))), F.when(goes, F.struct((F.col("seq") + 1).alias("seq"), F.lit(-1).alias("delta"))))
+    changes = pages.withColumn("moves", F.array_compact(moves)).where(F.size("moves") > 0)
     last = F.element_at(F.split("key", "/"), -1)
     keys = F.when(last.isin(*DIRECTORY_PAGES), F.array(F.col("key"), F.expr("substring(key, 1, length(key) - length(element_at(split(key, '/'), -1)))"))).otherwise(F.array("key"))
-    deltas = pages.select("domain", F.explode(keys).alias("key"), moves.alias("moves")).select("domain", F.when(F.col("key") == "", "/").otherwise(F.col("key")).alias("key"), F.inline("moves"))
+    deltas = changes.select("domain", F.explode(keys).alias("key"), "moves").select("domain", F.when(F.col("key") == "", "/").otherwise(F.col("key")).alias("key"), F.inline("moves"))
     return deltas.join(small(ok.select(F.col("source").alias("domain"), "seq", F.col("completed").alias("at"))), ["domain", "seq"]).drop("seq")
 
 

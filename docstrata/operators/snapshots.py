@@ -1,8 +1,9 @@
 """What changed between consecutive full snapshots.
 
 The snapshot of a run is the set of its rows; consecutive snapshots of a source are full-outer-joined on the plain
-slug and compared by digest. Rows on one side only are paired as renames where they share an identity that no other
-one-sided row of that side has.
+slug and compared by digest. The join of every snapshot with the next is done at once: the rows of a page are brought
+together once, in the order of their runs, and each meets its neighbour there or finds that side missing. Rows on one side
+only are paired as renames where they share an identity that no other one-sided row of that side has.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ def snapshots(files: DataFrame, runs: DataFrame) -> DataFrame:
     are settled by the larger digest and source_id. Blank source_ids are null; rows with a null slug are no pages.
     """
     files = files.select("run_id", "slug", "loaded_at", "hash", "source_id")
-    rows = files.join(small(successful_runs(runs).drop("started", "completed")), "run_id")
+    rows = files.join(small(successful_runs(runs).drop("started", "completed")), "run_id").where(F.col("slug").isNotNull())
     rows = rows.select("source", "seq", "last_seq", plain_slug(F.col("slug")).alias("slug"), "loaded_at", digest(F.col("hash")).alias("digest"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"))
     best = F.max(F.struct("loaded_at", "digest", "source_id", "last_seq")).alias("b")
-    return rows.where(F.col("slug").isNotNull()).groupBy("source", "seq", "slug").agg(best).select("source", "seq", "b.last_seq", "slug", "b.digest", "b.source_id")
+    # by page, so that what follows finds all runs of a page in one place; few rows repeat, so there is nothing to combine before
+    return rows.repartition("source", "slug").groupBy("source", "slug", "seq").agg(best).select("source", "seq", "b.last_seq", "slug", "b.digest", "b.source_id")
 
 
 def snapshot_changes(files: DataFrame, runs: DataFrame) -> DataFrame:
@@ -44,11 +46,13 @@ def snapshot_changes(files: DataFrame, runs: DataFrame) -> DataFrame:
     on either side is not changed. The first run of a source gives none; an empty run removes everything.
     """
     pages = snapshots(files, runs)
-    new = pages.where("seq > 1").select("source", "seq", "slug", F.col("digest").alias("new_digest"), F.col("source_id").alias("new_id"), F.lit(True).alias("in_new"))
-    old = pages.where("seq < last_seq").select("source", (F.col("seq") + 1).alias("seq"), "slug", F.col("digest").alias("old_digest"), F.col("source_id").alias("old_id"), F.lit(True).alias("in_old"))
-    both = new.join(old, ["source", "seq", "slug"], "full_outer")
-    kind = F.when(F.col("in_old").isNull(), "added").when(F.col("in_new").isNull(), "removed").when(F.col("new_digest") != F.col("old_digest"), "changed")
-    diff = both.select("source", "seq", "slug", kind.alias("change_type"), F.coalesce("new_id", "old_id").alias("source_id")).where("change_type is not null")
+    of_page = Window.partitionBy("source", "slug").orderBy("seq")
+    sides = pages.withColumn("before", F.lag(F.struct("seq", "digest")).over(of_page)).withColumn("next", F.lead("seq").over(of_page))
+    in_old = F.col("before.seq").eqNullSafe(F.col("seq") - 1)
+    came = F.when(F.col("seq") > 1, F.when(~in_old, "added").when(F.col("digest") != F.col("before.digest"), "changed"))
+    went = F.when((F.col("seq") < F.col("last_seq")) & ~F.col("next").eqNullSafe(F.col("seq") + 1), "removed")
+    events = F.array(F.struct(F.col("seq"), came.alias("change_type")), F.struct((F.col("seq") + 1).alias("seq"), went.alias("change_type")))
+    diff = sides.select("source", "slug", "source_id", F.inline(events)).where("change_type is not null").select("source", "seq", "slug", "change_type", "source_id")
     diff = staged(diff, "snapshot-diff")
 
     sides = diff.where("change_type <> 'changed' and source_id is not null").groupBy("source", "seq", "source_id")
