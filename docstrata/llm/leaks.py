@@ -1,13 +1,14 @@
 """Evaluation texts leaking into training text.
 
-A prefix-filtered set join of five-word shingles: shingles of the items are ordered by how many documents have them, and
-only the rarest ones that any matching passage must share are looked up (a passage of 15 words with one edit keeps 6 of
-its 11 shingles, one of 20 words with two edits keeps 6 of its 16). Hits pass a length bound and lie on neighbouring
-diagonals; each remaining stretch is aligned with the item word by word, and an item is in the document when a passage of
-at least 15 of its words has no more edits than one in ten.
-
-The items are the bounded side. They go to every executor in blocks; the documents are read once for the counts and once
-a block for the join, and never shuffled.
+A prefix-filtered set join of five-word shingles. Every passage that counts contains a window of 15 words with at most one
+edit or of 20 with at most two (an item of fewer words: itself, with one edit from ten words on). An edit destroys at most
+five shingles, so of the shingles of a window, ordered by how many documents have them, the rarest five per edit and one
+more must hold one that stands in the document: these are the prefix, and only they are joined. A hit brings the words
+around it along, and the window is verified exactly, from the shared shingle to both sides.
+
+Items and documents are tables throughout. The documents are scanned once for the counts and once for the join, whatever
+the number of items; they never shuffle, only hits do. Before anything leaves a scan it must pass a bitmap of the wanted
+shingles, whose size is bounded (at most 2^30 bits), and which only spares work: what passes wrongly finds no partner.
 """
 
 from __future__ import annotations
@@ -15,21 +16,30 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-SHINGLE, PASSAGE, EDIT_SHARE = 5, 15, 0.1
-#: (words of a window, edits it may have): every passage that matches contains one of these.
+from docstrata.runtime import HEAVY_SHARE, small, staged
+
+SHINGLE = 5
+#: (words of a window, edits it may have).
 WINDOWS = ((15, 1), (20, 2))
-#: Items in a block; more of them are more passes over the documents.
-BLOCK = 20_000
+#: Words before and behind a shingle that a window around it can reach, with room for words that are added.
+BEFORE, BEHIND = 17, 17
+_REACH = max(size for size, _ in WINDOWS) - SHINGLE
+#: Bits of the bitmap for each wanted shingle, and how many it has at least and at most (powers of two).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 15, 30
 
 _WORD = re.compile(r"[^\W_]+")
+# scripts that put no blanks between words: each sign is a word
+_DENSE = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+_HAS_DENSE = re.compile(f"[{_DENSE}]")
+_DENSE_WORD = re.compile(rf"[{_DENSE}]|[^\W_{_DENSE}]+")
 _TAG = re.compile(r"</?[A-Za-z][^<>\n]*>|<!--[^<>]*-->")
 _URL = re.compile(r"\]\([^()\n]*\)|\]\[[^\[\]\n]*\]|\\(?:emph|text\w\w|href|item|cite)\b")
 _LINE = re.compile(r"^[ \t]*(?:[>|#*+-]+[ \t]*)*(?:\(?(?:[a-zA-Z]|\d{1,5})[.):|][ \t]+|\d{1,5}[ \t]{2,}|L\d{1,5}:?[ \t]+|\[\d+\][ \t]+)?", re.M)
@@ -41,8 +51,10 @@ def words(text: str) -> list[str]:
     """The words of a text in order, regardless of case, punctuation, spacing, line prefixes and markup."""
     if "\r" in text:
         text = text.replace("\r\n", "\n")
+    dense = False
     if not text.isascii():
         text = _HIDDEN.sub("", unicodedata.normalize("NFKC", text))
+        dense = _HAS_DENSE.search(text) is not None
     if "&" in text:
         text = html.unescape(text)
     if "<" in text:
@@ -51,219 +63,234 @@ def words(text: str) -> list[str]:
         text = _URL.sub(" ", text)
     if "-\n" in text:
         text = _BROKEN.sub(r"\1\2", text)
-    return _WORD.findall(_LINE.sub("", text).lower())
+    return (_DENSE_WORD if dense else _WORD).findall(_LINE.sub("", text).lower())
 
 
-@dataclass
-class Index:
-    """The items of a block: their words, the hash of each shingle and where it stands."""
+class _Numbers(dict):
+    """word -> 63 bits of its hash, never 0."""
 
-    ids: list[int]
-    items: list[list[str]]
-    vocabulary: dict[str, int]
-    keys: np.ndarray  # word number -> random 64 bits, 0 is no item word
-    hashes: np.ndarray  # sorted distinct shingle hashes
-    places: list[list[tuple[int, int]]]  # for each hash: (item, position)
-    short: dict[int, dict[tuple[str, ...], list[int]]]  # for each length below SHINGLE: words -> items
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = n = (xxhash.xxh64_intdigest(word) >> 1) or 1
+        return n
 
-    @classmethod
-    def of(cls, rows: list[tuple[int, str]]) -> Index:
-        ids, texts = [i for i, _ in rows], [words(t) for _, t in rows]
-        vocabulary: dict[str, int] = {}
-        for t in texts:
-            for w in t:
-                vocabulary.setdefault(w, len(vocabulary) + 1)
-        keys = np.random.default_rng(20).integers(1, 2**63, len(vocabulary) + 1, dtype=np.uint64)
-        keys[0] = 0
-        at: dict[int, list[tuple[int, int]]] = {}
-        short: dict[int, dict[tuple[str, ...], list[int]]] = {}
-        for k, t in enumerate(texts):
-            if 0 < len(t) < SHINGLE:
-                short.setdefault(len(t), {}).setdefault(tuple(t), []).append(k)
-            h, _ = rolled(keys[[vocabulary[w] for w in t]]) if len(t) >= SHINGLE else (np.empty(0, np.uint64), None)
-            for p, x in enumerate(h.tolist()):
-                at.setdefault(x, []).append((k, p))
-        order = sorted(at)
-        return cls(ids, texts, vocabulary, keys, np.array(order, dtype=np.uint64), [at[x] for x in order], short)
-
-    def prefix(self, frequency: dict[int, int]) -> np.ndarray:
-        """Which hashes are looked up: the rarest of every window, as many as its edits can destroy, and one."""
-        taken = np.zeros(len(self.hashes), dtype=bool)
-        number = {p: h for h, places in enumerate(self.places) for p in places}
-        for k, t in enumerate(self.items):
-            row = [number[k, p] for p in range(len(t) - SHINGLE + 1)]
-            rank = sorted(range(len(row)), key=lambda p: (frequency.get(row[p], 0), row[p]))
-            place = {p: r for r, p in enumerate(rank)}
-            for size, edits in WINDOWS:
-                span = min(size, len(t)) - SHINGLE + 1
-                need = SHINGLE * edits + 1
-                for a in range(max(1, len(row) - span + 1)):
-                    for p in sorted(range(a, min(a + span, len(row))), key=place.__getitem__)[:need]:
-                        taken[row[p]] = True
-        return taken
-
-
-def rolled(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of the shingle at each position, whether all its words are item words)."""
-    n = len(keys) - SHINGLE + 1
-    h, known = np.zeros(n, dtype=np.uint64), np.ones(n, dtype=bool)
+
+_numbers = _Numbers()
+
+
+def numbered(tokens: list[str]) -> np.ndarray:
+    return np.fromiter(map(_numbers.__getitem__, tokens), np.int64, len(tokens))
+
+
+def rolled(numbers: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """The hash of the shingle of that size at each place; 0 where it holds a 0, which is no word."""
+    n = len(numbers) - size + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    h, whole = np.full(n, size, dtype=np.uint64), np.ones(n, dtype=bool)
     with np.errstate(over="ignore"):
-        for j in range(SHINGLE):
-            part = keys[j : j + n]
-            known &= part != 0
-            h = h * np.uint64(6364136223846793005) + (part ^ (part >> np.uint64(29)))
-    return h, known
-
-
-def _hits(texts: list[list[str]], index: Index, wanted: np.ndarray | None) -> dict[int, list[tuple[int, int]]]:
-    """For each text its (position, hash number) of item shingles; all texts are looked up at once."""
-    get = index.vocabulary.get
-    lengths = [len(t) for t in texts]
-    flat = np.zeros(sum(lengths) + SHINGLE * len(texts) + SHINGLE, dtype=np.int64)
-    starts, at = [], 0
-    for t, n in zip(texts, lengths, strict=True):
+        for j in range(size):
+            part = numbers[j : j + n]
+            whole &= part != 0
+            h = (h ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    h[whole & (h == 0)] = 1
+    h[~whole] = 0
+    return h.view(np.int64)
+
+
+def edits_allowed(n: int) -> int:
+    """Of an item that is one window."""
+    return n // 10
+
+
+def prefix(frequencies: list[int], n: int) -> list[int]:
+    """Places of the shingles of an item of n words that are looked up, given how many documents have each.
+
+    Of every window the rarest, as many as its edits can destroy and one more; those that no document has are left out,
+    as they cannot be met.
+    """
+    order = sorted(range(len(frequencies)), key=lambda p: (frequencies[p], p))
+    rank = {p: r for r, p in enumerate(order)}
+    windows = [(size, edits) for size, edits in WINDOWS if size <= n] or [(n, edits_allowed(n))]
+    taken: set[int] = set()
+    for size, edits in windows:
+        span, need = max(size - SHINGLE + 1, 1), SHINGLE * edits + 1
+        for a in range(max(len(frequencies) - span + 1, 1)):
+            taken.update(sorted(range(a, min(a + span, len(frequencies))), key=rank.__getitem__)[:need])
+    return sorted(p for p in taken if frequencies[p] > 0)
+
+
+def _reached(item: list[int], doc: list[int], edits: int) -> list[int]:
+    """For 0..edits edits, how many words at the beginning of the item stand at the beginning of doc; changed ones count."""
+    best, ends = [], {0: 0}  # diagonal (document minus item place) -> furthest item place with the edits so far
+    for _ in range(edits + 1):
+        for d, i in ends.items():
+            while i < len(item) and i + d < len(doc) and item[i] == doc[i + d]:
+                i += 1
+            ends[d] = i
+        best.append(max(ends.values()))
+        onward: dict[int, int] = {}
+        for d, i in ends.items():
+            # the item's word is changed, is left out, or a word is added
+            for di, dd in ((1, 0), (1, -1), (0, 1)):
+                if i + di <= len(item):
+                    onward[d + dd] = max(onward.get(d + dd, 0), i + di)
+        ends = onward
+    return best
+
+
+def agrees(item: list[int], place: int, n: int, doc: list[int], at: int) -> bool:
+    """Whether a window of the item counts in the document around a shingle they share.
+
+    item holds words of an item of n words around its shingle at place; doc those of the document around it at at.
+    """
+    size = min(SHINGLE, n)
+    windows = [(w, e) for w, e in WINDOWS if w <= n] or [(n, edits_allowed(n))]
+    most = max(e for _, e in windows)
+    left = _reached(item[:place][::-1], doc[:at][::-1], most)
+    right = _reached(item[place + size :], doc[at + size :], most)
+    return any(left[a] + size + right[e - a] >= w for w, e in windows for a in range(e + 1))
+
+
+def _flat(texts: pd.Series) -> tuple[np.ndarray, list[int], list[int]]:
+    """(numbers of the words of all texts with zeros between them, where each begins, how many it has)."""
+    tokens = [words(t) if t else [] for t in texts]
+    lengths = [len(t) for t in tokens]
+    flat, starts, at = np.zeros(sum(lengths) + SHINGLE * (len(tokens) + 1), np.int64), [], 0
+    for t, n in zip(tokens, lengths, strict=True):
         starts.append(at)
-        if n:
-            flat[at : at + n] = [get(w, 0) for w in t]
+        flat[at : at + n] = numbered(t)
         at += n + SHINGLE
-    h, known = rolled(index.keys[flat])
-    some = np.flatnonzero(known)
-    if not len(some) or not len(index.hashes):
-        return {}
-    spot = np.searchsorted(index.hashes, h[some])
-    spot[spot == len(index.hashes)] = 0
-    equal = index.hashes[spot] == h[some]
-    if wanted is not None:
-        equal &= wanted[spot]
-    found: dict[int, list[tuple[int, int]]] = {}
-    owner = np.searchsorted(starts, some[equal], side="right") - 1
-    for o, p, x in zip(owner.tolist(), some[equal].tolist(), spot[equal].tolist(), strict=True):
-        found.setdefault(o, []).append((p - starts[o], x))
-    return found
-
-
-def passage(item: list[str], doc: list[str], low: int, high: int) -> bool:
-    """Whether the band of diagonals low..high (document minus item position) holds a passage that counts.
-
-    A banded alignment with free ends; on its path a stretch of n item words with e edits counts when n is at least
-    PASSAGE (or the whole item) and e at most n * EDIT_SHARE.
-    """
-    n, width = len(item), high - low + 1
-    best = [0] * width  # positions outside the document are words that match nothing
-    steps: list[list[int]] = []
-    for i in range(n):
-        w, row, step = item[i], [0] * width, [0] * width
-        for b in range(width):
-            j = i + low + b
-            same = 0 <= j < len(doc) and doc[j] == w
-            cost, how = best[b] + (not same), 0 if same else 1
-            if b + 1 < width and best[b + 1] + 1 < cost:  # the item's word is missing
-                cost, how = best[b + 1] + 1, 2
-            if b and row[b - 1] + 1 < cost:  # a word of the document is added
-                cost, how = row[b - 1] + 1, 3
-            row[b], step[b] = cost, how
-        steps.append(step)
-        best = row
-    b = min(range(width), key=best.__getitem__)
-    i, path = n - 1, []
-    while i >= 0:
-        how = steps[i][b]
-        path.append(how)
-        if how == 3:
-            b -= 1
-        else:
-            if how == 2:
-                b += 1
-            i -= 1
-    need = min(PASSAGE, n)
-    gain = np.cumsum([0] + [(how != 3) - (how != 0) / EDIT_SHARE for how in path])
-    length = np.cumsum([0] + [how != 3 for how in path])
-    lowest, a = float("inf"), 0
-    for e in range(1, len(path) + 1):
-        while length[e] - length[a] >= need:
-            lowest = min(lowest, gain[a])
-            a += 1
-        if gain[e] - lowest >= -1e-9:
-            return True
-    return False
-
-
-def leaked_items(doc: list[str], hits: list[tuple[int, int]], index: Index) -> list[int]:
-    """Numbers of the items of which the document has a passage, given all of its hits."""
-    by_item: dict[int, list[tuple[int, int]]] = {}
-    for q, x in hits:
-        for k, p in index.places[x]:
-            by_item.setdefault(k, []).append((q - p, q))
-    found = []
-    for k, pairs in by_item.items():
-        fewest = 1 if len(index.items[k]) <= 2 * SHINGLE else 2  # an edit can leave one shingle of ten words
-        if len(pairs) < fewest:
-            continue
-        pairs.sort()
-        group: list[tuple[int, int]] = []
-        for pair in [*pairs, (10**9, 0)]:
-            if group and pair[0] - group[-1][0] > 6:
-                if len(group) >= fewest and passage(index.items[k], doc, group[0][0] - 4, group[-1][0] + 4):
-                    found.append(k)
-                    break
-                group = []
-            group.append(pair)
-    return found
-
-
-def short_items(doc: list[str], index: Index) -> list[int]:
-    """Numbers of the items of fewer words than a shingle that stand in the document word for word; they may have no edit."""
-    return [k for n, known in index.short.items() for t in known.keys() & set(zip(*(doc[a:] for a in range(n)))) for k in known[t]]
-
-
-def _item_blocks(items: DataFrame, key: str, text: str) -> list[list[tuple[int, str]]]:
-    rows = [(r[0], r[1]) for r in items.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text).orderBy(key).toLocalIterator()]
-    return [rows[a : a + BLOCK] for a in range(0, len(rows), BLOCK)]
-
-
-def _seen_udf(index):
+    return flat, starts, lengths
+
+
+class Bitmap:
+    """Which shingle hashes are wanted: of those that are, all; of others few."""
+
+    def __init__(self, bits: int, buckets: list[tuple[int, bytes]]) -> None:
+        self.mask = (1 << bits) - 1
+        self.data = np.zeros((self.mask + 1) // 8, np.uint8)
+        for number, data in buckets:
+            self.data[(number - 1) * 4096 : number * 4096] = np.frombuffer(data, np.uint8)
+
+    @classmethod
+    def of(cls, hashes: DataFrame, column: str = "h") -> Bitmap:
+        """Of a table's distinct hashes; the driver holds the bits, never the hashes."""
+        n = hashes.agg(F.count_distinct(column)).first()[0]
+        bits = min(max((BITS_EACH * n).bit_length(), LEAST_BITS), MOST_BITS)
+        at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
+        by = hashes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("data"))
+        return cls(bits, [(r.bucket, bytes(r.data)) for r in by.toLocalIterator()])
+
+    def passes(self, h: np.ndarray) -> np.ndarray:
+        at = h & self.mask
+        return ((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool) & (h != 0)
+
+
+def _seen_udf(bitmap, sizes: list[int]):
     @F.pandas_udf(ArrayType(LongType()))
     def seen(texts: pd.Series) -> pd.Series:
-        split = [words(t) if t else [] for t in texts]
-        hits = _hits(split, index.value, None)
-        return pd.Series([list({x for _, x in hits[o]}) if o in hits else None for o in range(len(split))], dtype=object)
+        flat, starts, _ = _flat(texts)
+        rows: list = [None] * len(texts)
+        for size in sizes:
+            h = rolled(flat, size)
+            some = np.flatnonzero(bitmap.value.passes(h))
+            owner = np.searchsorted(starts, some, side="right") - 1
+            for o in np.unique(owner).tolist():
+                rows[o] = (rows[o] or []) + np.unique(h[some[owner == o]]).tolist()
+        return pd.Series(rows, dtype=object)
 
     return seen
 
 
-def _found_udf(index, wanted):
-    @F.pandas_udf(ArrayType(LongType()))
-    def found(texts: pd.Series) -> pd.Series:
-        own = index.value
-        shortest = (1 - EDIT_SHARE) * min(PASSAGE, min(map(len, own.items), default=0))
-        split = [words(t) if t else [] for t in texts]
-        candidates = [o for o in sorted(_hits(split, own, wanted.value)) if len(split[o]) >= shortest]
-        rows: list = [None] * len(split)
-        again = _hits([split[o] for o in candidates], own, None)
-        for n, o in enumerate(candidates):
-            if ks := leaked_items(split[o], again.get(n, []), own):
-                rows[o] = sorted({own.ids[k] for k in ks})
-        if own.short:
-            for o, doc in enumerate(split):
-                if ks := short_items(doc, own):
-                    rows[o] = sorted({*(rows[o] or ()), *(own.ids[k] for k in ks)})
+_HITS = ArrayType(StructType([StructField("h", LongType()), StructField("at", IntegerType()), StructField("near", ArrayType(LongType()))]))
+
+
+def _hits_udf(bitmap, sizes: list[int]):
+    @F.pandas_udf(_HITS)
+    def hits(texts: pd.Series) -> pd.Series:
+        flat, starts, lengths = _flat(texts)
+        rows: list = [None] * len(texts)
+        for size in sizes:
+            h = rolled(flat, size)
+            some = np.flatnonzero(bitmap.value.passes(h))
+            owner = np.searchsorted(starts, some, side="right") - 1
+            for q, o in zip(some.tolist(), owner.tolist(), strict=True):
+                a, b = starts[o], starts[o] + lengths[o]
+                low, high = max(a, q - BEFORE), min(b, q + SHINGLE + BEHIND)
+                if rows[o] is None:
+                    rows[o] = []
+                rows[o].append((int(h[q]), q - low, flat[low:high].tolist()))
         return pd.Series(rows, dtype=object)
 
-    return found
+    return hits
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _item_words(texts: pd.Series) -> pd.Series:
+    return pd.Series([numbered(words(t)).tolist() if t else [] for t in texts], dtype=object)
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _item_shingles(items: pd.Series) -> pd.Series:
+    return pd.Series([rolled(np.asarray(w, np.int64), min(SHINGLE, len(w))).tolist() if len(w) else [] for w in items], dtype=object)
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def _prefix(frequencies: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([prefix(list(f), k) for f, k in zip(frequencies, n, strict=True)], dtype=object)
+
+
+@F.pandas_udf(BooleanType())
+def _agrees(item: pd.Series, place: pd.Series, n: pd.Series, doc: pd.Series, at: pd.Series) -> pd.Series:
+    return pd.Series([agrees(i.tolist(), p, k, d.tolist(), q) for i, p, k, d, q in zip(item, place, n, doc, at, strict=True)], dtype=bool)
+
+
+def _joined(hits: DataFrame, wanted: DataFrame) -> DataFrame:
+    """hits (key, h, ...) with wanted (h, docs, ...): by broadcast where that is small, else shuffled by shingle, frequent ones in parts.
+
+    A shingle is frequent when it has more than HEAVY_SHARE of all occurrences, so there are at most 1/HEAVY_SHARE of them.
+    """
+    known = small(wanted)
+    if known is not wanted:
+        return hits.join(known, "h").drop("docs")
+    by_shingle = wanted.select("h", "docs").distinct()
+    part = max(1000, int((by_shingle.agg(F.sum("docs")).first()[0] or 0) * HEAVY_SHARE))
+    heavy = F.broadcast(by_shingle.where(F.col("docs") > part).select("h", F.ceil(F.col("docs") / part).cast("int").alias("parts")))
+    one = F.coalesce("parts", F.lit(1))
+    left = hits.join(heavy, "h", "left").withColumn("salt", F.pmod(F.xxhash64("near", "at"), one).cast("int")).drop("parts")
+    right = wanted.join(heavy, "h", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("parts")
+    return left.join(right, ["h", "salt"]).drop("salt", "docs")
 
 
 def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
-    """(key, item_key): documents that contain an item's text or a passage of it.
+    """(key, item_key): documents that contain an item's text or a passage of it, each pair once.
 
-    Null and empty texts contain nothing, items without a word are in no document, those of fewer than five words
-    where they stand word for word; repeated documents repeat, repeated items do not. items is a held-out set: its texts must fit the driver (a million items of 100 words are about 1 GB).
+    Null and empty texts contain nothing, items without a word are in no document, those of fewer than ten words where
+    they stand word for word. Repeated documents and items count once; items without a key are left out.
     """
-    spark = docs.sparkSession
-    whole = docs.select(key, F.lit(None).cast("long").alias(item_key)).where("false")
-    for block in _item_blocks(items, item_key, item_text):
-        index = spark.sparkContext.broadcast(Index.of(block))
-        counts = docs.select(F.explode(_seen_udf(index)(text)).alias("h")).groupBy("h").count()
-        frequency = {r[0]: r[1] for r in counts.toLocalIterator()}  # at most one entry per item shingle
-        wanted = spark.sparkContext.broadcast(index.value.prefix(frequency))
-        whole = whole.unionByName(docs.select(key, F.explode(_found_udf(index, wanted)(text)).alias(item_key)))
-    return whole
+    spark: SparkSession = docs.sparkSession
+    known = items.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_key).alias("__item"), _item_words(item_text).alias("words"))
+    known = staged(known.where(F.size("words") > 0).distinct().withColumn("shingles", _item_shingles("words")), "items")
+    numbered_items = known.withColumn("n", F.size("words"))
+    sizes = sorted(r[0] for r in numbered_items.select(F.least("n", F.lit(SHINGLE)).alias("size")).distinct().collect())  # at most five
+    shingles = numbered_items.select("__item", "words", "n", F.posexplode("shingles").alias("p", "h"))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("__doc"), F.col(text).alias("__text"))
+
+    seen = _seen_udf(spark.sparkContext.broadcast(Bitmap.of(shingles)), sizes).asNondeterministic()
+    counts = staged(texts.select(F.explode(seen("__text")).alias("h")).groupBy("h").agg(F.count("*").alias("docs")), "shingle-counts")
+
+    # one row an item again, with the counts of its shingles in their order
+    counted = shingles.select("__item", "words", "n", "p", "h").join(small(counts), "h", "left")
+    counted = counted.groupBy("__item", "words", "n").agg(F.sort_array(F.collect_list(F.struct("p", "h", F.coalesce("docs", F.lit(0)).alias("docs")))).alias("s"))
+    chosen = counted.withColumn("taken", F.explode(_prefix.asNondeterministic()(F.col("s.docs"), F.col("n"))))
+    shingle, place = F.get("s", F.col("taken")), F.least(F.col("taken"), F.lit(_REACH))
+    around = F.slice("words", F.col("taken") - place + 1, F.lit(2 * _REACH + SHINGLE))
+    wanted = staged(chosen.select(shingle["h"].alias("h"), shingle["docs"].alias("docs"), "__item", "n", place.alias("place"), around.alias("item_words")), "prefixes")
+
+    hits = _hits_udf(spark.sparkContext.broadcast(Bitmap.of(wanted)), sizes).asNondeterministic()
+    met = _joined(texts.select("__doc", F.inline(hits("__text"))), wanted)
+    found = met.where(_agrees("item_words", "place", "n", "near", "at")).select(F.col("__doc").alias(key), F.col("__item").alias(item_key))
+    return found.distinct()
