@@ -33,7 +33,7 @@ WINDOWS = ((15, 1), (20, 2))
 BEFORE, BEHIND = 17, 17
 _REACH = max(size for size, _ in WINDOWS) - SHINGLE
 #: Bits of the bitmap for each wanted shingle, and how many it has at least and at most (powers of two).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 15, 30
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 15, 30
 
 _WORD = re.compile(r"[^\W_]+")
 # scripts that put no blanks between words: each sign is a word
@@ -167,7 +167,7 @@ def _flat(texts: pd.Series) -> tuple[np.ndarray, list[int], list[int]]:
 
 
 class Bitmap:
-    """Which shingle hashes are wanted: of those that are, all; of others few."""
+    """Which shingle hashes are wanted: of those that are, all; of others few. A hash sets two bits, of its lower and its upper half."""
 
     def __init__(self, bits: int, buckets: list[tuple[int, bytes]]) -> None:
         self.mask = (1 << bits) - 1
@@ -180,13 +180,17 @@ class Bitmap:
         """Of a table's distinct hashes; the driver holds the bits, never the hashes."""
         n = hashes.agg(F.count_distinct(column)).first()[0]
         bits = min(max((BITS_EACH * n).bit_length(), LEAST_BITS), MOST_BITS)
-        at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
-        by = hashes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("data"))
+        halves = F.array(F.col(column), F.shiftright(column, 32))
+        at = F.col("half").bitwiseAND(F.lit((1 << bits) - 1)) + 1
+        by = hashes.select(F.explode(halves).alias("half")).groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("data"))
         return cls(bits, [(r.bucket, bytes(r.data)) for r in by.toLocalIterator()])
 
     def passes(self, h: np.ndarray) -> np.ndarray:
+        """The places of the hashes that do."""
         at = h & self.mask
-        return ((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool) & (h != 0)
+        some = np.flatnonzero(((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1) & (h != 0))
+        at = (h[some] >> 32) & self.mask
+        return some[((self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)]
 
 
 def _seen_udf(bitmap, sizes: list[int]):
@@ -196,10 +200,12 @@ def _seen_udf(bitmap, sizes: list[int]):
         rows: list = [None] * len(texts)
         for size in sizes:
             h = rolled(flat, size)
-            some = np.flatnonzero(bitmap.value.passes(h))
+            some = bitmap.value.passes(h)
             owner = np.searchsorted(starts, some, side="right") - 1
-            for o in np.unique(owner).tolist():
-                rows[o] = (rows[o] or []) + np.unique(h[some[owner == o]]).tolist()
+            ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
+            for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True) if len(owner) else ():
+                o = int(owner[a])
+                rows[o] = (rows[o] or []) + list(set(h[some[a:b]].tolist()))
         return pd.Series(rows, dtype=object)
 
     return seen
@@ -215,7 +221,7 @@ def _hits_udf(bitmap, sizes: list[int]):
         rows: list = [None] * len(texts)
         for size in sizes:
             h = rolled(flat, size)
-            some = np.flatnonzero(bitmap.value.passes(h))
+            some = bitmap.value.passes(h)
             owner = np.searchsorted(starts, some, side="right") - 1
             for q, o in zip(some.tolist(), owner.tolist(), strict=True):
                 a, b = starts[o], starts[o] + lengths[o]
