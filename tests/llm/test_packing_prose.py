@@ -3,6 +3,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from docstrata.llm import packing as P
 from docstrata.llm import prose as Q
@@ -100,6 +101,7 @@ def test_a_common_junk_page_is_not_prose(spark):
     common = spark.createDataFrame([("en", w) for w in sorted(COMMON)], "lang string, word string")
     scored = Q.scored_documents(spark.createDataFrame(data, "doc_id long, lang string, text string"), "doc_id", "text", "lang", common).collect()
     assert max(x.score for x in scored if x.doc_id >= 1000) < 5 and {x.ranked_of for x in scored} == {200}
+    assert all(x.least_score == pytest.approx(math.log(2)) and x.score >= x.least_score for x in scored if x.doc_id >= 1000)
     assert sorted(x.doc_id for x in Q.not_prose(spark.createDataFrame(scored)).collect()) == list(range(1000, 1100))
 
 
@@ -110,3 +112,23 @@ def test_every_window_gets_containers(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
     monkeypatch.setattr(queries.packing, "packed", lambda docs, key, text, windows: windows)
     assert queries.p6_containers(spark, str(tmp_path)) == [(n, 64) for n in range(1500)]
+
+
+def test_no_document_below_a_half_scores_below_the_bound(spark):
+    """Languages of one row, of junk only, and with junk and ties at any frequency: the candidates hold every document below a half."""
+    r = random.Random(12)
+    junk, good = ["hooks, keys, rules, maps", "a | b | c", "x = f(y);\n" * 3, "§$%&", "1 2 3"], ["The reader of a page is glad to see that it works.", "It is the end of the story, and that is good."]
+    data = [(n, r.choice(["en", "de", "fr"]), " ".join(r.choice(good) for _ in range(r.randrange(1, 4)))) for n in range(80)]
+    data += [(100 + n, r.choice(["en", "en", "xx"]), r.choice(junk) * r.randrange(1, 3)) for n in range(120)] + [(300, "yy", junk[0]), (301, "zz", good[0])]
+    common = spark.createDataFrame([("en", w) for w in sorted(COMMON)], "lang string, word string")
+    scored = spark.createDataFrame(Q.scored_documents(spark.createDataFrame(data, "doc_id long, lang string, text string"), "doc_id", "text", "lang", common).collect())
+    want = sorted(x.doc_id for x in scored.collect() if x.sentence_share < 0.5)
+    assert sorted(x.doc_id for x in Q.not_prose(scored).collect()) == want and {300, 100} <= set(want) and 301 not in want
+    assert Q.not_prose(scored.withColumn("score", F.col("score") - 100)).count() == 0  # rows come by way of the score
+
+
+def test_shares_of_other_scripts():
+    assert Q.statistics("これは本の最初の文です。読者は喜びます。", COMMON)[5] == 1.0
+    assert Q.statistics("Читатель рад видеть, что страница работает. Это уже конец его истории.", COMMON)[5] == 1.0
+    assert Q.statistics("目次。概要。設定", COMMON)[5] == 0.0 and Q.statistics("ключи правила карты", COMMON)[5] == 0.0
+    assert Q.statistics("The end of it is near. " + "wide " * 5, COMMON)[5] > 0.5 > Q.statistics("It is the end. " + "wide " * 4 + "w" * 3, COMMON)[5]
