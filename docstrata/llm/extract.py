@@ -1,13 +1,16 @@
 """Clean text from HTML, Markdown, wiki and LaTeX: headings, lists, code blocks, tables and formulas are kept.
 
-HTML goes through a tree. Paragraphs pass points for their length and commas to their parent and half of them to its
-parent; each container's points are discounted by its link density, and the best container is kept together with the
-siblings that score close to it or are paragraphs themselves.
+A body becomes one tree, from which both its markup languages and its clean text are read. Its parts are elements of HTML
+and, between them, stretches of text with paragraphs, each part knowing the languages of which it has a construct outside
+code. Paragraphs of every language pass points for their length and commas to their parent and half of them to its parent;
+each container's points are discounted by its link density, and the best container is kept together with the siblings that
+score close to it or are paragraphs themselves. Paragraphs that are menus of links are dropped.
 """
 
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import textwrap
 
@@ -31,19 +34,26 @@ _ASIDE = frozenset(("nav", "footer", "aside", "header"))
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th")}
 _HTML_BLOCKS = re.compile(r"<(?:html|body|p|div|h[1-6]|ul|ol|table|pre|article|section)\b", re.I)
 _SPACE = re.compile(r"\s+")
+#: A stretch of text beside elements, and a paragraph of it.
+_STRETCH, _TEXT = ("#stretch",), "#text"
+_LINKS = re.compile(r"\[\[[^\[\]\n]*\]\]|\[[^\[\]\n]*\](?:\([^()\s]*\)|\[[^\[\]\n]*\])|\[(?:https?:)?//[^\s\]]+ [^\]\n]+\]|\\href\{[^{}]*\}\{[^{}]*\}")
+_BLANK = re.compile(r"(\n[ \t]*(?:\n[ \t]*)+)")
+#: A paragraph of at least so many links, and of little else, is a menu.
+MENU_LINKS, MENU_DENSITY = 3, 0.8
 
 
 class Node:
-    __slots__ = ("tag", "children", "parent", "score", "chars", "links", "commas")
+    __slots__ = ("tag", "children", "parent", "score", "chars", "links", "commas", "start", "end", "kinds")
 
-    def __init__(self, tag: str, parent: Node | None) -> None:
-        self.tag, self.parent, self.children = tag, parent, []
+    def __init__(self, tag: str, parent: Node | None, start: int = 0, end: int = 0) -> None:
+        self.tag, self.parent, self.children, self.start, self.end = tag, parent, [], start, end
         self.score, self.chars, self.links, self.commas = 0.0, 0, 0, 0
+        self.kinds: frozenset[str] = frozenset()
 
 
 def tree(text: str) -> Node:
-    """Forgiving parse: unknown ends are ignored, p, li and cells end where the next begins, depth is bounded by 200."""
-    root = at = Node("#root", None)
+    """Forgiving parse of elements: unknown ends are ignored, p, li and cells end where the next begins. Below 200 levels elements are siblings."""
+    root = at = Node("#root", None, 0, len(text))
     pos, depth = 0, 0
     for m in _TAG.finditer(text):
         if m.start() < pos:
@@ -57,15 +67,17 @@ def tree(text: str) -> Node:
             while up is not root and up.tag != name:
                 up, k = up.parent, k + 1
             if up is not root:
-                at, depth = up.parent, depth - k - 1
+                while at is not up:
+                    at.end, at = m.start(), at.parent
+                at.end, at, depth = pos, up.parent, depth - k - 1
             continue
         if name in _BLOCK and at.tag == "p":
-            at, depth = at.parent, depth - 1
+            at.end, at, depth = m.start(), at.parent, depth - 1
         if at.tag in _CLOSES.get(name, ()):
-            at, depth = at.parent, depth - 1
+            at.end, at, depth = m.start(), at.parent, depth - 1
             if name == "tr" and at.tag == "tr":
-                at, depth = at.parent, depth - 1
-        node = Node(name, at)
+                at.end, at, depth = m.start(), at.parent, depth - 1
+        node = Node(name, at, m.start(), pos)
         at.children.append(node)
         if name in _VOID or m[4] or depth >= 200:
             continue
@@ -74,11 +86,15 @@ def tree(text: str) -> Node:
             pos = len(text) if end < 0 else end
         at, depth = node, depth + 1
     at.children.append(text[pos:])
+    while at is not root:
+        at.end, at = len(text), at.parent
     return root
 
 
 def _measure(node: Node, in_link: bool = False) -> None:
     """Characters, characters in links and commas of each subtree; then the points of paragraphs to their ancestors."""
+    if node.tag in _STRETCH:  # measured as its paragraphs were made
+        return
     for c in node.children:
         if isinstance(c, str):
             n = len(c.strip())
@@ -91,7 +107,12 @@ def _measure(node: Node, in_link: bool = False) -> None:
             node.chars += c.chars
             node.links += c.links
             node.commas += c.commas
-    if node.tag in _SCORED and node.chars >= 25 and node.parent is not None:
+    if node.tag in _SCORED:
+        _pass_points(node)
+
+
+def _pass_points(node: Node) -> None:
+    if node.chars >= 25 and node.parent is not None:
         points = 1 + node.commas + min(node.chars / 100, 3)
         node.parent.score += points
         if node.parent.parent is not None:
@@ -116,6 +137,9 @@ def main_content(root: Node) -> list[Node]:
     for c in around:
         if isinstance(c, str):
             continue
+        if c.tag in _STRETCH:
+            kept.append(c)
+            continue
         near = c.score * (1 - _density(c)) >= max(10.0, 0.2 * top)
         text = c.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "ul", "ol", "table", "blockquote") and _density(c) < 0.25
         if c is best or (c.tag not in _DROP and c.tag not in _ASIDE and (near or text)):
@@ -133,7 +157,7 @@ def _fence(code: str) -> str:
     return f"{marks}\n{code.strip(chr(10))}\n{marks}"
 
 
-def _render(node: Node, out: list[str], bullet: str = "- ") -> None:
+def _render(node: Node, out: list[str], opened=lambda code: code, bullet: str = "- ") -> None:
     line: list[str] = []
 
     def flush() -> None:
@@ -152,7 +176,7 @@ def _render(node: Node, out: list[str], bullet: str = "- ") -> None:
             flush()
         elif c.tag == "pre":
             flush()
-            out.append(_fence(html.unescape(_text(c))))
+            out.append(_fence(html.unescape(opened(_text(c)))))
         elif re.fullmatch(r"h[1-6]", c.tag):
             flush()
             title = _SPACE.sub(" ", html.unescape(_text(c))).strip()
@@ -167,7 +191,7 @@ def _render(node: Node, out: list[str], bullet: str = "- ") -> None:
                     continue
                 number += 1
                 inner: list[str] = []
-                _render(i, inner)
+                _render(i, inner, opened)
                 if inner:
                     items.append((f"{number}. " if c.tag == "ol" else bullet) + "\n".join(inner).replace("\n", "\n  "))
             if items:
@@ -186,31 +210,36 @@ def _render(node: Node, out: list[str], bullet: str = "- ") -> None:
                 out.append("\n".join(rows))
         elif c.tag in _BLOCK:
             flush()
-            _render(c, out)
+            _render(c, out, opened)
         elif c.tag in ("code", "kbd", "samp", "tt"):
-            line.append("`" + _text(c) + "`")
+            line.append("`" + opened(_text(c)) + "`")
         elif c.tag == "img":
             continue
         else:
             inner = []
-            _render(c, inner)
+            _render(c, inner, opened)
             line.append(" ".join(inner) if inner else "")
     flush()
 
 
-def from_html(text: str) -> str:
-    root = tree(re.sub(r"<!doctype[^<>]*>", "", between(text, "<!--", "-->", lambda _: ""), flags=re.I))
-    _measure(root)
-    out: list[str] = []
-    for n in main_content(root):
-        if n.tag in _BLOCK or n.tag == "#root":
-            holder = Node("div", None)
-            holder.children = [n]
-            _render(n if n.tag in _CONTAINER else holder, out)
-    return "\n\n".join(out)
+def unwrapped(text: str, opener: re.Pattern[str]) -> str:
+    """Without the openers, which end in a brace, and the braces that close them, however deep they are nested; unclosed ones stay."""
+    parts, stack, at = [], [], 0
+    for m in re.finditer(rf"(?P<open>{opener.pattern})|[{{}}]", text):
+        if m["open"] or m[0] == "{":
+            if m["open"]:
+                parts += (text[at : m.start()], m[0])
+                at = m.end()
+            stack.append(len(parts) - 1 if m["open"] else None)
+        elif stack and (n := stack.pop()) is not None:
+            parts[n] = ""
+            parts.append(text[at : m.start()])
+            at = m.end()
+    return "".join(parts) + text[at:]
 
 
 _LATEX_HEAD = re.compile(r"\\(part|chapter|section|subsection|subsubsection|paragraph)\*?\{([^{}]*)\}")
+_LATEX_WRAP = re.compile(r"\\(?:emph|text(?:bf|it|tt|sc)|url|footnote|caption|title|author)\{")
 _LEVEL = {"part": 1, "chapter": 1, "section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4}
 
 
@@ -222,8 +251,7 @@ def from_latex(text: str) -> str:
     text = re.sub(r"[ \t]*\\item(?:\[([^\[\]]*)\])?[ \t]*", lambda m: "- " + (m[1] + " " if m[1] else ""), text)
     text = re.sub(r"~?\\(?:cite[pt]?|ref|label|includegraphics)\*?(?:\[[^\[\]]*\])?\{[^{}]*\}", "", text)
     text = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", text)
-    for _ in range(3):
-        text = re.sub(r"\\(?:emph|text(?:bf|it|tt|sc)|url|footnote|caption|title|author)\{([^{}]*)\}", r"\1", text)
+    text = unwrapped(text, _LATEX_WRAP)
     text = re.sub(r"\\begin\{equation\*?\}|\\end\{equation\*?\}", "$$", text)
     text = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\{[^{}]*\}|\[[^\[\]]*\])?", "", text)
     return re.sub(r"\\([%&#_$])", r"\1", text).replace("~", " ")
@@ -256,76 +284,176 @@ def from_markdown(text: str) -> str:
     return re.sub(r"<(https?://[^<>\s]+)>", r"\1", text)
 
 
-def convert(body: str | None) -> tuple[list[str], str | None]:
-    """(markup languages used, clean text). A null body gives no language and null; an empty one an empty text."""
-    if body is None:
-        return [], None
-    text = plain_lines(body)
-    front = FRONT.match(text) if text.startswith("---") else None
-    if front:
-        text = text[front.end() :]
-    fences = fence_spans(text)
-    kept: list[str] = []
-
-    def shield(spans: list, source: str) -> str:
+class Document:
+    """A body as one tree: below the root elements of HTML and stretches of text, in order, each with its languages."""
+
+    def __init__(self, body: str) -> None:
+        text = plain_lines(body)
+        self.kept: list[str] = []
+        self.mark = next(c for c in map(chr, itertools.chain(range(0xE000, 0xF900), range(0xF0000, 0x10FFFE))) if c not in text)
+        self.token = re.compile(f"{self.mark}(\\d+){self.mark}")
+        self.root = Node("#root", None)
+        front = FRONT.match(text) if text.startswith("---") else None
+        if front:
+            text = text[front.end() :]
+        fences = fence_spans(text)
+        work = self.shielded(text, fences)
+        indented = indented_spans(work)
+        work = self.shielded(work, indented, lambda code: _fence(textwrap.dedent(code)) + "\n" * code.endswith("\n"))
+        elements = element_spans(work) if "<" in work or "\\" in work else []
+        verbatim = [(work.rfind("\\begin", 0, a), work.find("}", b) + 1 or len(work)) for a, b in elements if work.startswith("\\end", b)]
+        self.verbatim = {len(self.kept) + n for n, (_, b) in enumerate(elements) if work.startswith("\\end", b)} if verbatim else set()
+        work = self.shielded(work, elements)
+        marks = inline_spans(work)
+        self.work = self.shielded(work, marks)
+        if front or fences:
+            self.root.kinds = frozenset(("markdown",))
+        self.marks = bool(marks)
+        self._grow()
+
+    def shielded(self, text: str, spans: list, form=lambda code: code) -> str:
+        """The spans replaced by marks that the text cannot hold."""
+        if not spans:
+            return text
         parts, at = [], 0
         for a, b in spans:
-            parts += (source[at:a], f"\x00{len(kept)}\x00")
-            kept.append(source[a:b])
+            parts += (text[at:a], f"{self.mark}{len(self.kept)}{self.mark}")
+            self.kept.append(form(text[a:b]))
             at = b
-        parts.append(source[at:])
+        parts.append(text[at:])
         return "".join(parts)
 
-    work = shield(fences, text) if fences else text
-    indented = indented_spans(work)
-    if indented:
-        codes = [_fence(textwrap.dedent(work[a:b])) for a, b in indented]
-        work = shield(indented, work)
-        kept[len(kept) - len(codes) :] = codes
-    elements = element_spans(work) if "<" in work or "\\" in work else []
-    bare = cut(work, elements)
-    marks = inline_spans(bare)
-    bare = without_slots(cut(bare, marks))
-    found = []
-    has_html = ("<" in bare or "&" in bare) and HTML.search(bare) is not None
-    has_latex = ("\\" in bare or "$" in bare) and LATEX.search(bare) is not None
-    wiki, sure = is_wiki(bare)
-    markdown = bool(front or fences or marks or is_markdown(bare, sure))
-    if has_html:
-        found.append("html")
-    if has_latex:
-        found.append("latex")
-    if markdown:
-        found.append("markdown")
-    if wiki:
-        found.append("wiki")
-
-    if has_html and _HTML_BLOCKS.search(bare) and len(_TAG.findall(bare)) >= 2:
-        clean = from_html(work)
-    else:
-        verbatim = [(a, b) for a, b in elements if work.startswith("\\end", b)] if has_latex else []
-        if verbatim:
-            spans = [(work.rfind("\\begin", 0, a), work.find("}", b) + 1 or len(work)) for a, b in verbatim]
-            codes = [work[a:b] for a, b in verbatim]
-            work = shield(spans, work)
-            kept[len(kept) - len(codes) :] = [_fence(c) for c in codes]
-        inline = inline_spans(work)
-        work = shield(inline, work) if inline else work
-        if has_latex and "\\" in work:
+    def opened(self, text: str) -> str:
+        """Marks become what they stand for, also those inside of it."""
+        return self.token.sub(lambda m: self.opened(self.kept[int(m[1])]), text) if self.mark in text else text
+
+    def _grow(self) -> None:
+        work, root, at = self.work, self.root, 0
+        if "<" in work and len(_TAG.findall(work)) >= 2 and _HTML_BLOCKS.search(work):
+            # comments keep their length, so that places stay
+            bare = re.sub(r"<!doctype[^<>]*>", lambda m: " " * len(m[0]), between(work, "<!--", "-->", lambda c: " " * (len(c) + 7)), flags=re.I)
+            for node in _outermost(tree(bare)):
+                self._stretch(at, node.start)
+                node.parent = root
+                root.children.append(node)
+                node.kinds = self._kinds(work[node.start : node.end])
+                at = node.end
+        self._stretch(at, len(work))
+        # in text with a sure sign of wiki a line's first '#' or '*' is a list item, wherever it stands
+        sure = any("wiki!" in n.kinds for n in root.children)
+        self.sure = sure
+        for n in root.children:
+            bare = self._bare(work[n.start : n.end])
+            n.kinds = n.kinds - {"wiki!"} | ({"markdown"} if is_markdown(bare, sure) or self.marks else set())
+
+    def _bare(self, text: str) -> str:
+        return without_slots(self.token.sub(" ", text) if self.mark in text else text)
+
+    def _kinds(self, source: str) -> frozenset[str]:
+        bare, found = self._bare(source), set()
+        if ("<" in bare or "&" in bare) and HTML.search(bare):
+            found.add("html")
+        if ("\\" in bare or "$" in bare) and LATEX.search(bare):
+            found.add("latex")
+        wiki, sure = is_wiki(bare)
+        return frozenset(found | ({"wiki"} if wiki else set()) | ({"wiki!"} if sure else set()))
+
+    def _stretch(self, a: int, b: int) -> None:
+        """A part of text with its paragraphs, measured as elements are."""
+        source = self.work[a:b]
+        if not source.strip():
+            return
+        part = Node("#stretch", self.root, a, b)
+        part.kinds = self._kinds(source)
+        self.root.children.append(part)
+        for n, block in enumerate(_BLANK.split(source)):
+            if n % 2:
+                part.children.append(block)
+                continue
+            p = Node(_TEXT, part)
+            p.children.append(block)
+            p.chars, p.commas = len(block), block.count(",")
+            links = _LINKS.findall(block) if "[" in block or "\\href" in block else []
+            p.links = sum(map(len, links))
+            if len(links) >= MENU_LINKS and _density(p) > MENU_DENSITY:
+                p.tag = "nav"
+            else:
+                _pass_points(p)
+            part.children.append(p)
+            part.chars, part.links, part.commas = part.chars + p.chars, part.links + p.links, part.commas + p.commas
+
+    def markups(self) -> list[str]:
+        return sorted(frozenset().union(self.root.kinds, *(n.kinds for n in self.root.children)))
+
+    def text(self) -> str:
+        _measure_below(self.root)
+        found = frozenset(self.markups())
+        out: list[str] = []
+        for n in main_content(self.root):
+            if n.tag in _STRETCH:
+                out.append(self._converted("".join(c if isinstance(c, str) else "" if c.tag == "nav" else c.children[0] for c in n.children), found))
+            elif n is self.root:
+                for c in n.children:
+                    if c.tag in _STRETCH:
+                        out.append(self._converted("".join(x if isinstance(x, str) else "" if x.tag == "nav" else x.children[0] for x in c.children), found))
+                    else:
+                        out.append(self._element(c))
+            else:
+                out.append(self._element(n))
+        clean = re.sub(r"[ \t]+$", "", self.opened("\n\n".join(x for x in out if x)), flags=re.M)
+        return re.sub(r"\n[ \t]*(?:\n[ \t]*)+", "\n\n", clean).strip()
+
+    def _element(self, node: Node) -> str:
+        out: list[str] = []
+        if node.tag not in _DROP and node.tag not in _ASIDE:
+            holder = Node("div", None)
+            holder.children = [node]
+            _render(node if node.tag in _CONTAINER else holder, out, self.opened)
+        return "\n\n".join(out)
+
+    def _converted(self, work: str, found: frozenset[str]) -> str:
+        if "latex" in found and self.verbatim:
+            work = re.sub(rf"\\begin\{{[^{{}}]*\}}{self.mark}(\d+){self.mark}\\end\{{[^{{}}]*\}}", lambda m: self.fenced(int(m[1])) if int(m[1]) in self.verbatim else m[0], work)
+        if "latex" in found and "\\" in work:
             work = from_latex(work)
-        if sure or wiki:
+        if "wiki" in found or self.sure:
             work = from_wiki(work)
-        if markdown:
+        if "markdown" in found:
             work = from_markdown(work)
-        if has_html:
+        if "html" in found:
             work = html.unescape(_TAG.sub("", between(work, "<!--", "-->", lambda _: "")))
-        clean = work
-    clean = re.sub(r"[ \t]+$", "", clean, flags=re.M)
-    for _ in range(3):
-        if "\x00" not in clean:
-            break
-        clean = re.sub(r"\x00(\d+)\x00", lambda m: kept[int(m[1])] if int(m[1]) < len(kept) else "", clean)
-    return found, re.sub(r"\n[ \t]*(?:\n[ \t]*)+", "\n\n", clean).strip()
+        return work
+
+    def fenced(self, n: int) -> str:
+        self.kept.append(_fence(self.kept[n]))
+        return f"{self.mark}{len(self.kept) - 1}{self.mark}"
+
+
+def _outermost(root: Node) -> list[Node]:
+    """The block elements that are in no other, in order; what is around them, and elements of other names, is text."""
+    found, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        if n.tag in _BLOCK:
+            found.append(n)
+        else:
+            stack += [c for c in reversed(n.children) if not isinstance(c, str)]
+    return found
+
+
+def _measure_below(root: Node) -> None:
+    for c in root.children:
+        if c.tag not in _DROP:
+            _measure(c)
+        root.chars, root.links, root.commas = root.chars + c.chars, root.links + c.links, root.commas + c.commas
+
+
+def convert(body: str | None) -> tuple[list[str], str | None]:
+    """(markup languages used, clean text). A null body gives no language and null; an empty one an empty text."""
+    if body is None:
+        return [], None
+    parsed = Document(body)
+    return parsed.markups(), parsed.text()
 
 
 _CONVERTED = StructType([StructField("markups", ArrayType(StringType())), StructField("text", StringType())])
