@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import re
 
-from docstrata.llm.code_spans import without_code
-from docstrata.llm.slots import without_slots
-
 HTML = re.compile(r"<!--|<!doctype\b|</?[A-Za-z][A-Za-z0-9.:-]*(?:\s+[^<>]*)?/?>|&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z]{2,8}[0-9]{0,2});", re.I)
 LATEX = re.compile(
     r"\\(?:begin|end|(?:sub)*section|chapter|paragraph|emph|text(?:bf|it|tt|sc)|cite[pt]?|ref|href|url|label|item|footnote|caption|usepackage|documentclass|includegraphics|title|author|maketitle)\b\*?\s*[\[{ \n]?"
@@ -62,24 +59,3 @@ def is_markdown(t: str, wiki: bool) -> bool:
 def plain_lines(body: str) -> str:
     """Without byte order mark, with LF line ends."""
     return body.lstrip("\ufeff").replace("\r\n", "\n").replace("\r", "\n")
-
-
-def markups(body: str) -> list[str]:
-    """Of html, latex, markdown and wiki those the body has a construct of, in that order."""
-    text = plain_lines(body)
-    found = []
-    front = FRONT.match(text) is not None if text.startswith("---") else False
-    if front:
-        text = FRONT.sub("", text, count=1)
-    bare, fences, marks = without_code(text)
-    bare = without_slots(bare)
-    if ("<" in bare or "&" in bare) and HTML.search(bare):
-        found.append("html")
-    if ("\\" in bare or "$" in bare) and LATEX.search(bare):
-        found.append("latex")
-    wiki, sure = is_wiki(bare)
-    if front or fences or marks or is_markdown(bare, sure):
-        found.append("markdown")
-    if wiki:
-        found.append("wiki")
-    return found

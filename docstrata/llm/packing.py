@@ -2,8 +2,8 @@
 
 Dynamic programming over the global histogram of lengths chooses bucket boundaries that minimise padding. Containers are
 token budgets: plans of bucket slots, largest bucket first and then whatever fits, each plan repeated while its buckets
-last. The driver sees only the histogram and the plans, both bounded by the capacity; every item finds its container from
-its exact rank within its bucket.
+last. A window is planned in one task from its histogram, which has at most capacity rows; every item finds its container
+from its exact rank within its bucket.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from docstrata.functions.search import at_or_before
 from docstrata.runtime import small, staged
 
 #: Public byte-level BPE ranks; the file is never copied into the repository.
@@ -116,11 +117,39 @@ def plans(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], i
     return out
 
 
+PLAN = "window_id long, tokens long, bound long, items long, firsts array<long>, repeats array<long>, bases array<long>"
+
+
+def planned(histogram: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """The plan of one window, whose histogram (window_id, capacity, tokens, count) has at most capacity rows.
+
+    Rows with tokens give the bucket of a size; those without give a bucket's slots: a slot begins at an item's rank in
+    its bucket (firsts), takes so many items a container (repeats), and fills containers from a number on (bases).
+    """
+    window, capacity = int(histogram["window_id"].iloc[0]), int(histogram["capacity"].iloc[0])
+    seen = dict(zip(histogram["tokens"].tolist(), histogram["count"].tolist(), strict=True))
+    bounds, counts, rows = boundaries(seen, buckets), {}, []
+    for size, c in seen.items():
+        bound = bounds[int(np.searchsorted(bounds, size))]
+        rows.append((window, size, bound, None, None, None, None))
+        counts[bound] = counts.get(bound, 0) + c
+    slots: dict[int, list[tuple[int, int, int]]] = {b: [] for b in counts}
+    base, start = 0, dict.fromkeys(counts, 0)
+    for plan, times in plans(counts, capacity):
+        for bound, k in plan.items():
+            slots[bound].append((start[bound], k, base))
+            start[bound] += k * times
+        base += times
+    rows += [(window, None, b, counts[b], *(list(x) for x in zip(*slots[b], strict=True))) for b in counts]
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in PLAN.split(", ")]).astype({"tokens": "Int64", "items": "Int64"})
+
+
 def packed(docs: DataFrame, key: str, text: str, capacities: Iterable[tuple[int, int]], tokenizer: str = TOKENIZER, buckets: int = BUCKETS) -> DataFrame:
     """(window_id, container, key, piece, tokens) for each (window_id, capacity).
 
     Only texts of more tokens than the capacity are split: into full pieces and a rest, numbered from 0. Texts without
-    tokens (null, empty) take no place; rows that repeat a key are items of their own.
+    tokens (null, empty) take no place; rows that repeat a key are items of their own. The tokenizer's file must be at
+    that path on every executor.
     """
     spark = docs.sparkSession
     windows = [(int(w), int(c)) for w, c in capacities]
@@ -131,38 +160,25 @@ def packed(docs: DataFrame, key: str, text: str, capacities: Iterable[tuple[int,
     sized = staged(with_tokens(docs.select(key, text), text, tokenizer).select(key, "tokens").where("tokens > 0"), "tokens")
     caps = F.array(*(F.struct(F.lit(w).cast("long").alias("window_id"), F.lit(c).cast("long").alias("capacity")) for w, c in windows))
     pieces = sized.select(key, "tokens", F.inline(caps)).select("window_id", key, "capacity", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("tokens") / F.col("capacity")) - 1)).alias("piece"))
-    pieces = pieces.select("window_id", key, "piece", F.least(F.col("capacity"), F.col("tokens") - F.col("piece") * F.col("capacity")).alias("tokens"))
-
-    seen: dict[int, dict[int, int]] = {w: {} for w, _ in windows}
-    for r in pieces.groupBy("window_id", "tokens").count().toLocalIterator():  # at most capacity rows a window
-        seen[r[0]][r[1]] = r[2]
-    bound_rows, slot_rows, most = [], [], 1
-    for w, capacity in windows:
-        bounds = boundaries(seen[w], buckets)
-        counts: dict[int, int] = {}
-        for size, c in seen[w].items():
-            bound = bounds[int(np.searchsorted(bounds, size))]
-            bound_rows.append((w, size, bound))
-            counts[bound] = counts.get(bound, 0) + c
-        most = max(most, *counts.values(), 1) if counts else most
-        base, start = 0, dict.fromkeys(counts, 0)
-        for plan, times in plans(counts, capacity):
-            for bound, k in plan.items():
-                slot_rows.append((w, bound, start[bound], start[bound] + k * times, k, base))
-                start[bound] += k * times
-            base += times
-    parts = -(-most // RANKED_ROWS)
-    bucket_of = F.broadcast(spark.createDataFrame(bound_rows, "window_id long, tokens long, bound long"))
-    slots = F.broadcast(spark.createDataFrame(slot_rows, "window_id long, bound long, first long, beyond long, k long, base long"))
-
-    items = pieces.join(bucket_of, ["window_id", "tokens"]).withColumn("part", F.pmod(F.xxhash64(key, "piece"), F.lit(parts)))
+    pieces = pieces.select("window_id", "capacity", key, "piece", F.least(F.col("capacity"), F.col("tokens") - F.col("piece") * F.col("capacity")).alias("tokens"))
+
+    histogram = pieces.groupBy("window_id", "capacity", "tokens").count()
+    plan = staged(histogram.groupBy("window_id").applyInPandas(lambda histogram: planned(histogram, buckets), PLAN), "plans")
+    parts = max(1, -(-(plan.agg(F.max("items")).first()[0] or 0) // RANKED_ROWS))
+    bucket_of = small(plan.where("tokens is not null").select("window_id", "tokens", "bound"))
+    slots = small(plan.where("tokens is null").select("window_id", "bound", "firsts", "repeats", "bases"))
+
+    items = pieces.drop("capacity").join(bucket_of, ["window_id", "tokens"]).withColumn("part", F.pmod(F.xxhash64(key, "piece"), F.lit(parts)))
     group = ["window_id", "bound", "part"]
     sums = items.groupBy(*group).count()
     before = Window.partitionBy("window_id", "bound").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     ranked = items.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(key, "piece")) - 1).join(small(offsets), group)
-    ranked = ranked.withColumn("rank", F.col("offset") + F.col("n")).join(slots, ["window_id", "bound"]).where("rank >= first and rank < beyond")
-    return ranked.select("window_id", (F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("k"))).alias("container"), key, "piece", "tokens")
+    ranked = ranked.withColumn("rank", F.col("offset") + F.col("n")).join(slots, ["window_id", "bound"])
+    ranked = ranked.withColumn("slot", at_or_before(F.col("firsts"), F.col("rank")) - 1)
+    of_slot = lambda c: F.get(c, F.col("slot"))
+    container = of_slot("bases") + F.floor((F.col("rank") - of_slot("firsts")) / of_slot("repeats"))
+    return ranked.select("window_id", container.alias("container"), key, "piece", "tokens")
 
 
 def bucket_only_fill(histogram: dict[int, int], capacity: int, buckets: int) -> float:
