@@ -31,6 +31,7 @@ def is_markdown(text: Column) -> Column:
 
 def split_front(text: str) -> tuple[dict[str, str], str]:
     """({field: value, with one nested level as 'outer.inner'}, the text below). A rule at the top is no front matter."""
+    text = text.lstrip("\ufeff")
     m = FRONT.match(text)
     if not m:
         return {}, text
@@ -160,6 +161,16 @@ def code_spans(text: Column, grammar: str) -> Column:
     return _spans[grammar].asNondeterministic()(text)
 
 
+@F.pandas_udf(ArrayType(StructType([StructField("grammar", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])))
+def _all_spans(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else [(g, a, b) for g, spans in fences.GRAMMARS.items() for a, b in spans(t)])
+
+
+def all_code_spans(text: Column) -> Column:
+    """array<struct(grammar, start, end)> of the fenced blocks by every grammar, in one pass over the texts."""
+    return _all_spans.asNondeterministic()(text)
+
+
 def without_code(text: Column, grammar: str) -> Column:
     return _stripped[grammar](text)
 

@@ -335,11 +335,15 @@ def run_stats(spark, d):
     return lifecycle.run_statistics(table(spark, d, "run_metadata")).drop("completed")
 
 
-@query(f"""WITH {_RUNS} SELECT s.source, CASE WHEN nullif(nullif(trim(version), ''), '—') IS NULL THEN '—' ELSE trim(version) END AS version FROM doc_sources s""")
+@query("""WITH s AS (SELECT source, nullif(nullif(trim(version), ''), '—') AS v, length(source) AS n FROM doc_sources)
+  SELECT source, coalesce(CASE WHEN n % 3 = 0 THEN '9.' || n || '.0' END, CASE WHEN n % 2 = 0 THEN '1.' || n END, v, '—') AS version FROM s""")
 def versions_resolved(spark, d):
+    """Sources with a probed version (some blank), with one of the run before, with the configured one, and with none."""
     sources = table(spark, d, "doc_sources")
-    none = sources.select("source", F.lit(None).cast("string").alias("version")).where("false")
-    return lifecycle.resolved_versions(sources, none, none)
+    n = F.length("source")
+    probed = sources.where(n % 3 < 2).select("source", F.when(n % 3 == 0, F.concat(F.lit("9."), n, F.lit(".0"))).otherwise(" ").alias("version"))
+    before = sources.where(n % 2 == 0).select("source", F.concat(F.lit("1."), n).alias("version"))
+    return lifecycle.resolved_versions(sources, probed, before)
 
 
 # --- links

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata.convert.registry import converted, rewritten_links, validated
-from docstrata.functions import assets, fences, links
+from docstrata.functions import assets, links
 from docstrata.functions import markdown as M
 from docstrata.functions.canonical import digest, instant
 from docstrata.functions.text import LOG_ESCAPES, content_hash, display_width, iso_stamp, log_escaped, section_title
 from docstrata.functions.urls import clean_url
 from docstrata.operators import discovery, reports
+from docstrata.plans import text_sql
+from docstrata.plans.reference import _KIND
 from docstrata.runtime import fresh_path, small, staged, table
 from docstrata.sources import listings, sitemap
 from docstrata.streaming.updater import SnapshotUpdater, late_counts
@@ -54,22 +56,18 @@ def markdown_valid(spark, d):
     return _bodies(spark, d).select("raw_id", M.is_markdown(F.col("body")).alias("is_markdown"))
 
 
-@query()
+@query(text_sql.MARKDOWN_TITLES)
 def markdown_titles(spark, d):
     return _bodies(spark, d).select("raw_id", M.title(F.col("body"), F.col("slug")).alias("title"))
 
 
-@query()
+@query(text_sql.FENCE_SPANS)
 def fence_spans(spark, d):
     """Fenced blocks by each of the five grammars."""
-    whole = None
-    for g in fences.GRAMMARS:
-        rows = _bodies(spark, d).where("body rlike '```|~~~'").select("raw_id", F.lit(g).alias("grammar"), F.inline(M.code_spans(F.col("body"), g)))
-        whole = rows if whole is None else whole.unionByName(rows)
-    return whole
+    return _bodies(spark, d).where("body rlike '```|~~~'").select("raw_id", F.inline(M.all_code_spans(F.col("body"))))
 
 
-@query()
+@query(text_sql.FENCES_STRIPPED)
 def fences_stripped(spark, d):
     return _bodies(spark, d).select("raw_id", F.length(M.without_code(F.col("body"), "title")).alias("chars"))
 
@@ -79,18 +77,18 @@ def invisible_stripped(spark, d):
     return _bodies(spark, d).select("raw_id", F.length(M.visible(F.col("body"))).cast("long").alias("chars"))
 
 
-@query()
+@query(text_sql.BLANK_RUNS)
 def blank_runs_collapsed(spark, d):
     return _bodies(spark, d).select("raw_id", F.length(M.collapsed(F.col("body"))).alias("chars"))
 
 
-@query()
+@query(text_sql.FRONT_FIELDS)
 def front_matter_fields(spark, d):
     front = _bodies(spark, d).where(F.col("body").rlike(r"^﻿?\s*---")).select("raw_id", M.front_matter(F.col("body")).alias("f"))
     return front.select("raw_id", F.explode("f.fields").alias("field", "value"))
 
 
-@query()
+@query(text_sql.HEADINGS_DEMOTED)
 def headings_demoted(spark, d):
     return _bodies(spark, d).select("raw_id", content_hash(M.demoted_headings(F.col("body"), 1)).alias("hash"))
 
@@ -104,7 +102,7 @@ def _links(spark, d):
     return _bodies(spark, d).select("raw_id", "source", "slug", F.inline(links.links(F.col("body"))))
 
 
-@query()
+@query(f"""{text_sql.DOCUMENT_LINKS_CTE} SELECT raw_id, CAST(n AS INT) AS line, target, {_KIND} AS kind FROM links""")
 def document_links(spark, d):
     return _links(spark, d).select("raw_id", "line", "target", links.destination_kind(F.col("target")).alias("kind"))
 
@@ -206,9 +204,12 @@ def conversion_failures(spark, d):
     return failures.select("raw_id", "error")
 
 
-@query("SELECT source, display_width FROM (SELECT source, max(length(title)) AS display_width FROM doc_sources GROUP BY 1)")
+@query("""WITH t AS (SELECT source, title || CASE WHEN length(title) % 2 = 0 THEN ' 漢字テスト' ELSE ' ＷＩＤＥ e' || chr(769) END AS title FROM doc_sources)
+  SELECT source, max(list_sum(list_transform(range(1, length(title) + 1), lambda i: CASE WHEN ord(title[i]) = 769 THEN 0 WHEN ord(title[i]) >= 12352 THEN 2 ELSE 1 END)))::BIGINT AS display_width FROM t GROUP BY 1""")
 def column_widths(spark, d):
-    return table(spark, d, "doc_sources").groupBy("source").agg(F.max(display_width(F.col("title"))).cast("long").alias("display_width"))
+    """Titles with signs that take two columns, and with one that takes none."""
+    title = F.concat("title", F.when(F.length("title") % 2 == 0, " 漢字テスト").otherwise(" ＷＩＤＥ e\u0301"))
+    return table(spark, d, "doc_sources").groupBy("source").agg(F.max(display_width(title)).cast("long").alias("display_width"))
 
 
 @query(f"SELECT DISTINCT title, {sql_log_escaped('title')} AS escaped FROM manifest_files WHERE title IS NOT NULL")
@@ -217,7 +218,9 @@ def log_titles(spark, d):
     return titles.select("title", log_escaped(F.col("title")).alias("escaped"))
 
 
-@query()
+@query(r"""WITH u AS (SELECT source, slug, ordinal, regexp_replace(regexp_replace(regexp_replace(rtrim(regexp_replace(source_url, '[?#].*$', '', 's'), '/'), '^.*/', ''), '\.mdx?$', ''), '[-_]+', ' ', 'g') AS w FROM pages),
+  t AS (SELECT *, regexp_matches(w, '^config ') AS c FROM u)
+  SELECT source, slug, ordinal, array_to_string(list_transform(regexp_extract_all(CASE WHEN c THEN substr(w, 8) ELSE w END, '[A-Za-z]+|[^A-Za-z]+'), lambda x: upper(x[1]) || lower(x[2:])), '') || CASE WHEN c THEN ' Configuration' ELSE '' END AS title FROM t""")
 def section_titles(spark, d):
     return table(spark, d, "pages").select("source", "slug", "ordinal", section_title(F.col("source_url")).alias("title"))
 
@@ -289,10 +292,18 @@ def bullet_discovery(spark, d):
     return lines.select("source", F.explode(listings.bullet_links(F.col("text"), hosts, "/")).alias("l")).select("source", "l.url")
 
 
-@query("""SELECT DISTINCT p.slug, p.slug AS target FROM pages p""")
+@query("""WITH p AS (SELECT DISTINCT slug FROM pages), known AS (SELECT slug FROM p UNION SELECT replace(slug, '-', '_') FROM p WHERE length(slug) % 3 = 0 UNION SELECT replace(regexp_replace(slug, '^.*/', ''), '-', '_') FROM p WHERE length(slug) % 3 = 1),
+  wanted AS (SELECT slug FROM p UNION SELECT regexp_replace(slug, '^guides/', '') FROM p UNION SELECT 'old-place/' || slug FROM p UNION SELECT slug || '-x' FROM p UNION SELECT replace(slug, '_', '-') FROM known)
+  SELECT slug, CASE WHEN slug IN (FROM known) THEN slug WHEN 'guides/' || slug IN (FROM known) THEN 'guides/' || slug WHEN replace(regexp_replace(slug, '^.*/', ''), '-', '_') IN (FROM known) THEN replace(regexp_replace(slug, '^.*/', ''), '-', '_')
+    WHEN replace(slug, '-', '_') IN (FROM known) THEN replace(slug, '-', '_') END AS target FROM wanted""")
 def slug_fallbacks(spark, d):
-    known = table(spark, d, "pages").select("slug").distinct()
-    return discovery.resolved_slugs(known, known)
+    """Slugs that are known as they are, below 'guides/', by their last segment, with other signs, and not at all."""
+    pages = table(spark, d, "pages").select("slug").distinct()
+    s, last = F.col("slug"), F.regexp_replace("slug", r"(?s)^.*/", "")
+    under = lambda c: F.replace(c, F.lit("-"), F.lit("_"))
+    known = pages.unionByName(pages.where(F.length("slug") % 3 == 0).select(under(s).alias("slug"))).unionByName(pages.where(F.length("slug") % 3 == 1).select(under(last).alias("slug"))).distinct()
+    wanted = pages.select(F.explode(F.array(s, F.regexp_replace("slug", "^guides/", ""), F.concat(F.lit("old-place/"), s), F.concat(s, F.lit("-x")))).alias("slug")).unionByName(known.select(F.replace(s, F.lit("_"), F.lit("-")).alias("slug"))).distinct()
+    return discovery.resolved_slugs(wanted, known)
 
 
 @query("""WITH r AS (SELECT DISTINCT regexp_replace(slug, '-(moved|next)$', '') AS a, slug AS b FROM manifest_files WHERE regexp_matches(slug, '-(moved|next)$')), one AS (SELECT a, min(b) AS b FROM r GROUP BY 1)
