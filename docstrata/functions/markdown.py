@@ -97,12 +97,20 @@ def demoted(text: str, by: int) -> str:
     return fences.outside(text, fences.component_spans(text), lambda t: ATX.sub(down, t))
 
 
-def is_stub(text: str) -> bool:
-    """One link to a Markdown page, at most one heading and little prose: it stands for the page it links to."""
+_PAGE_LINK = re.compile(r"\[[^\[\]]*\]\(([^()\s]+\.md(?:#[^()\s]*)?)\)")
+
+
+def stub_parts(text: str) -> tuple[list[str], int, int]:
+    """(destinations of links to Markdown pages, headings, characters of prose beside links and headings)."""
     _, body = split_front(text)
-    links = re.findall(r"\[[^\[\]]*\]\([^()\s]+\.md(?:#[^()\s]*)?\)", body)
     prose = re.sub(r"\[([^\[\]]*)\]\([^()]*\)|^ {0,3}#{1,6}[^\n]*$", r"\1", body, flags=re.M)
-    return len(links) == 1 and len(ATX.findall(body)) <= 1 and len(prose.strip()) < STUB_PROSE
+    return _PAGE_LINK.findall(body), len(ATX.findall(body)), len(prose.strip())
+
+
+def is_stub(text: str) -> bool:
+    """One link to a Markdown page, at most one heading and little prose: it may stand for the page it links to (operators/stubs.py asks whether that is known)."""
+    links, headings, prose = stub_parts(text)
+    return len(links) == 1 and headings <= 1 and prose < STUB_PROSE
 
 
 def _udf(kind, function):
@@ -148,6 +156,16 @@ def demoted_headings(text: Column, by: int) -> Column:
     return _demoted[by](text)
 
 
+@F.pandas_udf(StructType([StructField("links", ArrayType(StringType())), StructField("headings", IntegerType()), StructField("prose", IntegerType())]))
+def _stub_parts(texts: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(None, None, None) if t is None else stub_parts(t) for t in texts], columns=["links", "headings", "prose"])
+
+
+def stub_measures(text: Column) -> Column:
+    """struct(links, headings, prose)."""
+    return _stub_parts.asNondeterministic()(text)
+
+
 def stub(text: Column) -> Column:
     return _stub(text)
 

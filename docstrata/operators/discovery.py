@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docstrata.functions.urls import clean_url, first_group, markdown_twin, page_violations, parent_group, same_origin, slug_below
 from docstrata.operators.lifecycle import first_wins
+from docstrata.runtime import small, staged
 
 PAGE = ("source", "slug", "source_url", "source_md_url", "source_id", "page_group", "ordinal")
 
@@ -45,17 +46,21 @@ def required(pages: DataFrame, what: str) -> DataFrame:
     return pages
 
 
-def followed_redirects(slugs: DataFrame, redirects: DataFrame, most: int = 10) -> DataFrame:
-    """(slug, target): redirects (slug, target) followed to their end, a cycle to where it closes; the map is bounded by its check."""
-    from docstrata.runtime import small
+def followed_redirects(slugs: DataFrame, redirects: DataFrame) -> DataFrame:
+    """(slug, target): redirects (slug, target; one a slug) followed to their end however long, a cycle to where it closes.
 
-    hops = small(redirects.select(F.col("slug").alias("_at"), F.col("target").alias("_to")))
-    rows = slugs.select("slug", F.col("slug").alias("target"), F.array("slug").alias("seen"))
-    for _ in range(most):
-        step = rows.join(hops, rows.target == hops._at, "left")
+    A round is a join of what still moves, so there are as many as the longest chain has links.
+    """
+    hops = staged(redirects.select(F.col("slug").alias("target"), F.col("target").alias("_to")), "redirects")
+    moving, ended = slugs.select("slug", F.col("slug").alias("target"), F.array("slug").alias("seen")), None
+    while True:
         onward = F.col("_to").isNotNull() & ~F.array_contains("seen", F.col("_to"))
-        rows = step.select("slug", F.when(onward, F.col("_to")).otherwise(F.col("target")).alias("target"), F.when(onward, F.array_append("seen", F.col("_to"))).otherwise(F.col("seen")).alias("seen"))
-    return rows.select("slug", "target")
+        step = staged(moving.join(small(hops), "target", "left").select("slug", "target", "seen", F.when(onward, F.col("_to")).alias("_to")), "redirects-round")
+        done = step.where("_to is null").select("slug", "target")
+        ended = done if ended is None else ended.unionByName(done)
+        moving = step.where("_to is not null").select("slug", F.col("_to").alias("target"), F.array_append("seen", F.col("_to")).alias("seen"))
+        if moving.isEmpty():
+            return ended
 
 
 def resolved_slugs(wanted: DataFrame, known: DataFrame) -> DataFrame:

@@ -65,6 +65,30 @@ def snapshot_changes(files: DataFrame, runs: DataFrame) -> DataFrame:
     return changes.join(small(successful_runs(runs).select("source", "seq", "run_id")), ["source", "seq"]).select("source", "run_id", "change_type", "slug", "old_slug")
 
 
+_SNAPSHOT = ("title", "page_group", "source_url", "source_id", "hash", "last_updated")
+#: Run numbers up to which a filter on them is written into the scan.
+LISTED_RUNS = 1000
+
+
+def _entry(files: DataFrame):
+    """The struct by which the row of a page that counts is the largest."""
+    hashed = F.lower(F.regexp_replace(F.lower(stripped(F.col("hash"))), r"^[a-z][a-z0-9_/-]*\s*[:=]\s*", ""))
+    return F.struct("loaded_at", F.nullif(hashed, F.lit("")).alias("hash"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"), "title", "page_group", "source_url", "last_updated")
+
+
+def last_snapshots(files: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the snapshot before, the snapshot) of each source's last two successful runs, as snapshot() gives them, from one scan and one exchange."""
+    wanted = successful_runs(runs).where("seq >= last_seq - 1").select("run_id", F.col("source"), (F.col("seq") == F.col("last_seq")).alias("is_new"))
+    numbers = [r[0] for r in wanted.select("run_id").limit(LISTED_RUNS + 1).collect()]
+    files = files.select("run_id", "slug", "title", "page_group", "source_url", "source_id", "hash", "last_updated", "loaded_at")
+    if len(numbers) <= LISTED_RUNS:
+        files = files.where(F.col("run_id").isin(numbers))
+    rows = files.join(small(wanted), "run_id").where("slug is not null").withColumn("e", _entry(files))
+    side = lambda new: F.max(F.when(F.col("is_new") if new else ~F.col("is_new"), F.col("e")))
+    both = staged(rows.groupBy("source", plain_slug(F.col("slug")).alias("slug")).agg(side(False).alias("old"), side(True).alias("new")), "last-snapshots")
+    return tuple(both.where(F.col(s).isNotNull()).select("source", "slug", *(F.col(f"{s}.{c}").alias(c) for c in _SNAPSHOT)) for s in ("old", "new"))
+
+
 def snapshot(files: DataFrame, runs: DataFrame, back: int = 0) -> DataFrame:
     """(source, slug, title, page_group, source_url, source_id, hash, last_updated): the snapshot of the last successful run of each source, or of one further back.
 
@@ -73,6 +97,4 @@ def snapshot(files: DataFrame, runs: DataFrame, back: int = 0) -> DataFrame:
     run = successful_runs(runs).where(F.col("seq") == F.col("last_seq") - back).select("run_id", "source")
     files = files.select("run_id", "slug", "title", "page_group", "source_url", "source_id", "hash", "last_updated", "loaded_at")
     rows = files.join(small(run), "run_id").where("slug is not null")
-    hashed = F.lower(F.regexp_replace(F.lower(stripped(F.col("hash"))), r"^[a-z][a-z0-9_/-]*\s*[:=]\s*", ""))
-    best = F.max(F.struct("loaded_at", F.nullif(hashed, F.lit("")).alias("hash"), F.nullif(stripped(F.col("source_id")), F.lit("")).alias("source_id"), "title", "page_group", "source_url", "last_updated"))
-    return rows.groupBy("source", plain_slug(F.col("slug")).alias("slug")).agg(best.alias("b")).select("source", "slug", "b.title", "b.page_group", "b.source_url", "b.source_id", "b.hash", "b.last_updated")
+    return rows.groupBy("source", plain_slug(F.col("slug")).alias("slug")).agg(F.max(_entry(files)).alias("b")).select("source", "slug", *(F.col(f"b.{c}").alias(c) for c in _SNAPSHOT))

@@ -14,7 +14,7 @@ from docstrata.functions import urls as U
 from docstrata.functions.canonical import digest, instant, plain_slug, stripped
 from docstrata.operators import diff as D
 from docstrata.operators import discovery, lifecycle, reports
-from docstrata.operators.snapshots import snapshot, successful_runs
+from docstrata.operators.snapshots import last_snapshots, snapshot, successful_runs
 from docstrata.runtime import small, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,9 +44,12 @@ def _snap(name: str, back: int) -> str:
       FROM manifest_files m JOIN runs r ON m.run_id = r.run_id WHERE r.seq = r.n - {back}) WHERE k = 1)"""
 
 
+def _newest(spark: SparkSession, d: str) -> DataFrame:
+    return snapshot(table(spark, d, "manifest_files"), table(spark, d, "mirror_runs"))
+
+
 def _old_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    files, runs = table(spark, d, "manifest_files"), table(spark, d, "mirror_runs")
-    return snapshot(files, runs, 1), snapshot(files, runs, 0)
+    return last_snapshots(table(spark, d, "manifest_files"), table(spark, d, "mirror_runs"))
 
 
 _SNAPS = f"WITH {_RUNS}, {_snap('old', 1)}, {_snap('new', 0)}"
@@ -142,19 +145,19 @@ for _a, _b in X.TITLE_ESCAPES:
 @query(f"""{_SNAPS}, g AS (SELECT source, coalesce(nullif(trim(page_group), ''), 'Documentation') AS page_group, slug, coalesce(title, '') AS title, coalesce(source_url, '') AS url FROM new)
   SELECT source, page_group, dense_rank() OVER (PARTITION BY source ORDER BY page_group <> 'root', page_group) AS group_pos, slug, '| ' || {_ESC} || ' | [' || slug || '.md](./' || slug || '.md) | [source](<' || replace(replace(replace(replace(replace(url, '<', '%3C'), '>', '%3E'), chr(10), '%0A'), chr(13), '%0D'), '|', '%7C') || '>) |' AS line FROM g""")
 def index_order(spark, d):
-    return reports.index_lines(_old_new(spark, d)[1])
+    return reports.index_lines(_newest(spark, d))
 
 
 @query(f"""{_SNAPS} SELECT s.source, s.title, coalesce(p.n, 0) AS pages, strftime(r.last AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS last_completed, coalesce(nullif(trim(s.version), ''), '—') AS version
   FROM doc_sources s LEFT JOIN (SELECT source, count(*) AS n FROM new GROUP BY 1) p ON s.source = p.source LEFT JOIN (SELECT source, max(completed) AS last FROM mirror_runs WHERE outcome = 'ok' GROUP BY 1) r ON s.source = r.source""")
 def source_stats(spark, d):
-    stats = reports.source_stats(table(spark, d, "doc_sources"), _old_new(spark, d)[1], table(spark, d, "mirror_runs"))
+    stats = reports.source_stats(table(spark, d, "doc_sources"), _newest(spark, d), table(spark, d, "mirror_runs"))
     return stats.withColumn("last_completed", F.date_format("last_completed", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(f"{_SNAPS} SELECT source, count(*) AS pages FROM new GROUP BY ROLLUP (source)")
 def source_totals(spark, d):
-    counts = _old_new(spark, d)[1].groupBy("source").agg(F.count("*").alias("pages"))
+    counts = _newest(spark, d).groupBy("source").agg(F.count("*").alias("pages"))
     return reports.with_total(counts)
 
 
@@ -275,7 +278,7 @@ def change_log_lines(spark, d):
 
 @query(f"{_SNAPS} SELECT source, slug, 'new' AS drift FROM (SELECT DISTINCT source, slug FROM pages) p WHERE NOT EXISTS (SELECT 1 FROM new o WHERE o.source = p.source AND o.slug = p.slug) UNION ALL SELECT source, slug, 'gone' FROM new o WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE o.source = p.source AND o.slug = p.slug)")
 def structural_drift(spark, d):
-    return D.drift(table(spark, d, "pages"), _old_new(spark, d)[1])
+    return D.drift(table(spark, d, "pages"), _newest(spark, d))
 
 
 # --- refresh of a snapshot

@@ -90,3 +90,16 @@ odd AS (SELECT DISTINCT l.raw_id FROM lines l JOIN front f ON l.raw_id = f.raw_i
 outer_of AS (SELECT i.raw_id, i.n, (SELECT arg_max(key, f.n) FROM field f WHERE f.raw_id = i.raw_id AND f.n < i.n AND f.key <> '') AS outer_key FROM inner_field i WHERE i.key <> ''),
 both_kinds AS (SELECT raw_id, n, key AS field, value FROM field WHERE key <> '' AND value <> '' UNION ALL SELECT i.raw_id, i.n, outer_key || '.' || i.key, i.value FROM inner_field i JOIN outer_of o ON i.raw_id = o.raw_id AND i.n = o.n WHERE outer_key IS NOT NULL)
 SELECT raw_id, field, arg_max(trim(value, '"'''), n) AS value FROM both_kinds WHERE raw_id NOT IN (FROM odd) AND raw_id IN (SELECT raw_id FROM front WHERE last IS NOT NULL) GROUP BY ALL"""
+
+#: Pages with one link to a Markdown file, at most one heading and little prose beside them, below their front matter.
+STUB_PAGES = r"""WITH t AS (SELECT raw_id, regexp_replace(regexp_replace(body, '^' || chr(65279) || '+', ''), '\A\s*---[ \t]*\r?\n([^\n]*\n)*?---[ \t]*(\r?\n|\z)', '') AS body FROM raw_docs WHERE body IS NOT NULL)
+  SELECT raw_id FROM t WHERE len(regexp_extract_all(body, '\[[^\[\]]*\]\([^()\s]+\.md(#[^()\s]*)?\)')) = 1 AND len(regexp_extract_all(body, '(?m)^ {0,3}#{1,6}[ \t]+\S[^\n]*$')) <= 1
+  AND length(trim(regexp_replace(body, '(?m)\[([^\[\]]*)\]\([^()]*\)|^ {0,3}#{1,6}[^\n]*$', '\1', 'g'), chr(32) || chr(9) || chr(10) || chr(13))) < 300"""
+
+#: Relative links of the bodies that lead to no page, and to no README or index below what they name.
+BROKEN_LINKS = DOCUMENT_LINKS_CTE + r""",
+rel AS (SELECT l.raw_id, n, target, r.source, regexp_replace(r.slug, '[^/]*$', '') || regexp_replace(regexp_replace(target, '^<(.*)>$', '\1'), '[?#].*$', '', 's') AS path FROM links l JOIN raw_docs r ON l.raw_id = r.raw_id JOIN doc_sources d ON r.source = d.source
+  WHERE NOT regexp_matches(regexp_replace(target, '^<(.*)>$', '\1'), '^(/|[A-Za-z][A-Za-z0-9+.-]*:|[?#]|$)') AND NOT coalesce(list_contains(illustrative_link_targets, target), false)),
+walk AS (SELECT raw_id, n, target, source, regexp_replace(path, '(^|/)(\./)+', '\1', 'g') AS path FROM rel UNION ALL SELECT raw_id, n, target, source, regexp_replace(path, '(^|/)[^/]+/\.\./', '\1') FROM walk WHERE regexp_matches(path, '(^|/)[^./][^/]*/\.\./')),
+have AS (SELECT DISTINCT source, slug AS path FROM pages UNION SELECT DISTINCT source, regexp_replace(slug, '(^|/)(README|index)$', '/') FROM pages WHERE regexp_matches(slug, '(^|/)(README|index)$'))
+SELECT raw_id, CAST(n AS INT) AS line, target FROM walk w WHERE NOT regexp_matches(path, '(^|/)[^./][^/]*/\.\./') AND NOT EXISTS (SELECT 1 FROM have h WHERE h.source = w.source AND h.path = regexp_replace(w.path, '\.md$', ''))"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.convert.registry import converted, rewritten_links, validated
+from docstrata.convert.registry import converted, validated
 from docstrata.functions import assets, links
 from docstrata.functions import markdown as M
 from docstrata.functions.canonical import digest, instant
@@ -93,7 +93,7 @@ def headings_demoted(spark, d):
     return _bodies(spark, d).select("raw_id", content_hash(M.demoted_headings(F.col("body"), 1)).alias("hash"))
 
 
-@query()
+@query(text_sql.STUB_PAGES)
 def stub_pages(spark, d):
     return _bodies(spark, d).where(M.stub(F.col("body"))).select("raw_id")
 
@@ -107,7 +107,7 @@ def document_links(spark, d):
     return _links(spark, d).select("raw_id", "line", "target", links.destination_kind(F.col("target")).alias("kind"))
 
 
-@query()
+@query(text_sql.BROKEN_LINKS)
 def broken_document_links(spark, d):
     """Relative links whose page is not in the page set: no page of that path, and no README or index below it."""
     pages = table(spark, d, "pages").select("source", F.col("slug").alias("path")).distinct()
@@ -121,19 +121,6 @@ def broken_document_links(spark, d):
     return counted.join(keys, ["source", "path"], "left_anti").select("raw_id", "line", "target")
 
 
-@query()
-def links_rewritten(spark, d):
-    """Site links of every body made relative where their page is known: only the pages a body links to travel with it."""
-    site = F.concat(F.lit("https://docs."), "source", F.lit(".example"))
-    rows = _bodies(spark, d).withColumn("site", site)
-    wanted = rows.select("raw_id", "source", F.explode(F.regexp_extract_all("body", F.lit(r"\]\(<?((?:https://docs\.[a-z]+\.example)?/[^)\s>]+)"), F.lit(1))).alias("href"))
-    wanted = wanted.select("raw_id", "source", F.regexp_replace(F.regexp_replace("href", r"^https://[^/]+", ""), r"^/|[?#].*\z|\.md\z", "").alias("slug")).distinct()
-    pages = table(spark, d, "pages").select("source", "slug").distinct()
-    known = wanted.join(pages, ["source", "slug"]).groupBy("raw_id").agg(F.collect_set("slug").alias("known"))
-    done = rows.join(known, "raw_id", "left")
-    return done.select("raw_id", content_hash(rewritten_links(F.col("body"), F.col("slug"), F.col("known"), F.col("site"))).alias("hash"))
-
-
 _RULES = assets.AssetRules("media", ("img/", "../img/"), extensions=(".png", ".svg", ".jpg"))
 
 
@@ -162,12 +149,6 @@ def asset_prune(spark, d):
     return assets.prunable(files, refs, all_fresh=True)
 
 
-@query()
-def assets_rewritten(spark, d):
-    rows = _bodies(spark, d).where(F.contains("body", F.lit("img/")))
-    return rows.select("raw_id", content_hash(assets.rewrite(F.col("body"), F.col("slug"), _RULES)).alias("hash"))
-
-
 def _converter(name: str, dialect: str):
     def run(spark, d):
         done = staged(_bodies(spark, d).select("raw_id", converted(F.col("body"), dialect).alias("c")), name)
@@ -250,14 +231,8 @@ def sitemap_scan(spark, d):
     return _sitemaps(spark, d).where("url <> 'https://docs.example/sitemap.xml'").select("url", F.size(sitemap.scan(F.col("xml"))).cast("long").alias("addresses"))
 
 
-@query(r"""SELECT p.source, CASE WHEN rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/') = home_url THEN 'index' ELSE substr(rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/'), length(home_url) + 2) END AS slug, ordinal FROM pages p JOIN doc_sources s ON p.source = s.source AND s.source = 'ovenlark'""")
-def address_discovery(spark, d):
-    found = table(spark, d, "pages").where("source = 'ovenlark'").select("source", F.col("source_url").alias("url"), "ordinal")
-    return discovery.from_addresses(found, "https://docs.ovenlark.example").select("source", "slug", "ordinal")
-
-
 @query(r"""SELECT p.source, CASE WHEN rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/') = home_url THEN 'index' ELSE substr(rtrim(regexp_replace(trim(source_url), '[?#].*$', ''), '/'), length(home_url) + 2) END AS slug, ordinal FROM pages p JOIN doc_sources s ON p.source = s.source""")
-def address_discovery_all(spark, d):
+def address_discovery(spark, d):
     """The pages of every source, each below the home of its source."""
     found = table(spark, d, "pages").select("source", F.col("source_url").alias("url"), "ordinal")
     homes = small(table(spark, d, "doc_sources").select("source", "home_url"))
@@ -272,14 +247,8 @@ def _trees(pages):
     return found.select("source", F.regexp_replace("slug", r"(?s)\?[^?]*\z", "").alias("slug"), F.substring_index("slug", "?", -1).cast("int").alias("ordinal"))
 
 
-@query("SELECT source, slug, ordinal FROM pages WHERE slug LIKE '%/%' AND source_url IS NOT NULL")
-def tree_discovery(spark, d):
-    """Pages below a directory."""
-    return _trees(table(spark, d, "pages").where("slug like '%/%' and source_url is not null"))
-
-
 @query("SELECT source, slug, ordinal FROM pages")
-def tree_discovery_all(spark, d):
+def tree_discovery(spark, d):
     """All pages, those of the top level too."""
     return _trees(table(spark, d, "pages"))
 
@@ -306,12 +275,18 @@ def slug_fallbacks(spark, d):
     return discovery.resolved_slugs(wanted, known)
 
 
-@query("""WITH r AS (SELECT DISTINCT regexp_replace(slug, '-(moved|next)$', '') AS a, slug AS b FROM manifest_files WHERE regexp_matches(slug, '-(moved|next)$')), one AS (SELECT a, min(b) AS b FROM r GROUP BY 1)
-  SELECT o.a AS slug, coalesce(t.b, o.b) AS target FROM one o LEFT JOIN one t ON o.b = t.a""")
+@query("""WITH RECURSIVE r AS (SELECT DISTINCT regexp_replace(slug, '-(moved|next)$', '') AS a, slug AS b FROM manifest_files WHERE regexp_matches(slug, '-(moved|next)$')),
+  one AS (SELECT a, min(b) AS b FROM r GROUP BY 1 UNION ALL SELECT 'step-' || i, 'step-' || (i + 1) FROM range(25) t(i) UNION ALL VALUES ('round-a', 'round-b'), ('round-b', 'round-c'), ('round-c', 'round-a')),
+  walk AS (SELECT a AS slug, a AS target, [a] AS seen, 0 AS hops FROM one UNION ALL SELECT w.slug, o.b, list_append(seen, o.b), hops + 1 FROM walk w JOIN one o ON w.target = o.a WHERE NOT list_contains(seen, o.b))
+  SELECT slug, arg_max(target, hops) AS target FROM walk GROUP BY slug""")
 def redirects_followed(spark, d):
+    """The redirects of moved pages, a chain of 25 and a circle."""
     files = table(spark, d, "manifest_files").where(r"slug rlike '-(?:moved|next)$'")
     one = files.select(F.regexp_replace("slug", r"-(?:moved|next)\z", "").alias("slug"), F.col("slug").alias("target")).groupBy("slug").agg(F.min("target").alias("target"))
-    return discovery.followed_redirects(one.select("slug"), one, most=2)
+    links = spark.range(25).select(F.concat(F.lit("step-"), "id").alias("slug"), F.concat(F.lit("step-"), F.col("id") + 1).alias("target"))
+    circle = spark.createDataFrame([("round-a", "round-b"), ("round-b", "round-c"), ("round-c", "round-a")], "slug string, target string")
+    whole = one.unionByName(links).unionByName(circle)
+    return discovery.followed_redirects(whole.select("slug"), whole)
 
 
 # --- streaming

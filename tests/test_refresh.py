@@ -92,6 +92,8 @@ def test_discovery(spark, rows):
     assert rows(good, "slug", "source_url") == [("x", "v")] and rows(bad, "violations") == [(["slug parent", "source_id blank"],)]
     hops = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("y", "x")], "slug string, target string")
     assert rows(discovery.followed_redirects(hops.select("slug"), hops)) == [("a", "c"), ("b", "c"), ("x", "y"), ("y", "x")]
+    chain = spark.createDataFrame([(f"s{n}", f"s{n + 1}") for n in range(15)], "slug string, target string")
+    assert {r.target for r in discovery.followed_redirects(chain.select("slug"), chain).collect()} == {"s15"}
     with pytest.raises(LookupError):
         discovery.required(pages.where("false"), "a")
 

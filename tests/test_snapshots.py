@@ -1,7 +1,7 @@
 from datetime import UTC, datetime
 
 from docstrata.operators.diff import diff, totals
-from docstrata.operators.snapshots import snapshot_changes
+from docstrata.operators.snapshots import last_snapshots, snapshot, snapshot_changes
 
 RUNS = "run_id long, source string, started timestamp, completed timestamp, outcome string"
 FILES = "run_id long, source string, slug string, source_id string, hash string, loaded_at timestamp, seq int, starts string"
@@ -71,3 +71,16 @@ def test_every_slug_lands_in_one_bucket(spark):
     before, after = {x[1] for x in old}, {x[1] for x in new}
     assert sorted(g.slug for g in got if g.change_type in ("added", "renamed")) == sorted(after - before)
     assert sorted(g.old_slug or g.slug for g in got if g.change_type in ("removed", "renamed")) == sorted(before - after)
+
+
+def test_last_snapshots_are_those_of_the_last_two_runs(spark, rows, monkeypatch):
+    import docstrata.operators.snapshots as S
+
+    columns = ("source_url string", "title string", "page_group string", "last_updated string")
+    f = files(spark, (1, "a", "1", "h", 2), (3, "a", "1", "h", 16), (3, "./a.md", "1", "h2", 17), (3, "b", None, None, 16), (4, "b/", "2", "x", 23), (4, None, "3", "y", 23))
+    f = f.selectExpr("*", *(f"cast('x' as {c.split()[1]}) as {c.split()[0]}" for c in columns))
+    for listed in (1000, 0):
+        monkeypatch.setattr(S, "LISTED_RUNS", listed)
+        old, new = last_snapshots(f, runs(spark))
+        assert rows(old) == rows(snapshot(f, runs(spark), 1)) and rows(new) == rows(snapshot(f, runs(spark)))
+        assert rows(old, "slug", "hash") == [("a", "h2"), ("b", None)] and rows(new, "slug") == [("b",)]

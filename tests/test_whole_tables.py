@@ -20,12 +20,12 @@ def folder(spark, tmp_path):
 
 
 def test_addresses_of_every_source_are_discovered(spark, folder, rows):
-    got = rows(entry.queries()["address_discovery_all"](spark, folder))
+    got = rows(entry.queries()["address_discovery"](spark, folder))
     assert got == sorted((s, p, n) for s in ("ovenlark", "tarnbox", "mossgate") for n, p in enumerate(SLUGS))
 
 
 def test_pages_of_the_top_level_are_in_the_trees(spark, folder, rows):
-    got = rows(entry.queries()["tree_discovery_all"](spark, folder))
+    got = rows(entry.queries()["tree_discovery"](spark, folder))
     assert got == sorted((s, p, n) for s in ("ovenlark", "tarnbox", "mossgate") for n, p in enumerate(SLUGS))
 
 
