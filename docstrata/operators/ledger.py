@@ -180,28 +180,29 @@ class WorkLedger:
 
         self._append(entry)
 
-    def output(self, token: int, merged: bool = False) -> str:
-        return f"{self.root}/{'merged' if merged else 'data'}/token={token}"
+    def output(self, token: int, name: str = "data") -> str:
+        """Where a lease writes the output of that name."""
+        return f"{self.root}/{name}/token={token}"
 
     def process(self, lease: Lease, rows: DataFrame) -> None:
         """Writes the rows under the lease's token and publishes them by completing it. Trying again within the lease replaces them."""
         rows.write.mode("overwrite").parquet(self.output(lease.token))
         self.complete(lease)
 
-    def read(self, schema: str) -> DataFrame:
-        """All published rows."""
-        paths = [self.output(t) for t in self.published()]
+    def read(self, schema: str, name: str = "data") -> DataFrame:
+        """All published rows of an output."""
+        paths = [self.output(t, name) for t in self.published()]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def merged(self, schema: str) -> DataFrame:
         """All published rows, those before the last merge in their merged form."""
-        paths = [self.output(t) for t in self.published() if t not in self._covered] + ([self.output(self._merged, merged=True)] if self._merged else [])
+        paths = [self.output(t) for t in self.published() if t not in self._covered] + ([self.output(self._merged, "merged")] if self._merged else [])
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def merge(self, token: int, fold: Callable[[DataFrame], DataFrame], schema: str) -> None:
         """Writes the fold of all published rows under the token of the caller's completed lease; merged() reads it from then on."""
         covers = self.published()
-        fold(self.merged(schema)).write.mode("overwrite").parquet(self.output(token, merged=True))
+        fold(self.merged(schema)).write.mode("overwrite").parquet(self.output(token, "merged"))
         self._append(lambda: {"do": "merge", "token": token, "covers": covers} if set(covers) >= self._covered else None)
 
 

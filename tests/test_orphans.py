@@ -1,6 +1,6 @@
 from datetime import UTC, datetime
 
-from docstrata.operators.orphans import orphan_links, orphan_report
+from docstrata.operators.orphans import OrphanCounts, orphan_links, orphan_report
 
 
 def at(day, hour=0):
@@ -70,3 +70,20 @@ def test_odd_paths(spark):
 def test_empty_tables(spark):
     assert found(spark, []) == []
     assert found(spark, [issue(1, "s/a.md")], []) == [(1, "file", "missing")]
+
+
+def test_counts_are_kept_and_only_deltas_are_read(spark, tmp_path, rows):
+    """Run by run and check by check the kept counts say what counts made of all rows say, and nothing is read twice."""
+    import random
+
+    r = random.Random(6)
+    pages = [(run, "s", f"p{k}", "k", 1) for run in (1, 2, 3) for k in r.sample(range(12), 6)] + [(2, "s", "dir/index", "k", 1)]
+    checks = [issue(n, "s/p%d.md" % r.randrange(14), r.choice(["p%d.md" % r.randrange(14), "dir/", None]), r.choice(["code", "old", "new", "none"]), at(r.randrange(1, 20), r.randrange(3))) for n in range(80)]
+    i, f, runs, sources, reasons = tables(spark, checks, pages)
+    for step, upto in enumerate((at(1, 2), at(9), at(15), at(20))):
+        part = lambda df, c: df.where(df[c] <= upto)  # noqa: E731, B023
+        taken = OrphanCounts(spark, f"file://{tmp_path}/o").take(part(i, "checked_at"), f, part(runs, "completed"), sources, reasons)
+        known = OrphanCounts(spark, f"file://{tmp_path}/o")
+        assert rows(known.orphans(reasons)) == rows(orphan_links(part(i, "checked_at"), f, part(runs, "completed"), sources, reasons)), step
+        assert taken["runs"] == (1, 1, 0, 1)[step]
+    assert known.take(i, f, runs, sources, reasons) == {"runs": 0, "references": 0}
