@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docstrata.functions.canonical import stripped
 from docstrata.functions.text import code_safe, log_escaped, title_escaped
 from docstrata.functions.urls import safe_url
+from docstrata.runtime import small
 
 DEFAULT_GROUP = "Documentation"
 
@@ -49,6 +50,20 @@ def rendered_index(pages: DataFrame, sources: DataFrame, source: str, updated: s
     return "\n".join(out).rstrip() + "\n"
 
 
+def index_parts(pages: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source, group_pos, text): the index of every source in parts, its head as part 0 and then a part for each group.
+
+    Parts are made in tasks and put one after the other by whoever reads them in order; the largest is one group's.
+    """
+    lines = index_lines(pages)
+    by = lines.groupBy("source", "group_pos", "page_group").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("slug", "line"))), lambda x: x["line"]), "\n").alias("rows"))
+    titled = by.join(small(sources.select("source", F.coalesce("title", "source").alias("title"))), "source")
+    name = F.when(F.col("page_group") == "root", F.col("title")).otherwise(F.trim(F.regexp_replace("page_group", r"\s+", " ")))
+    groups = titled.select("source", "group_pos", F.concat(F.lit("## "), name, F.lit("\n\n| Page | Local | Source |\n| --- | --- | --- |\n"), "rows", F.lit("\n")).alias("text"))
+    heads = sources.join(small(lines.select("source").distinct()), "source", "left_semi").select("source", F.lit(0).cast("long").alias("group_pos"), F.concat(F.lit("# "), F.coalesce("title", "source"), F.lit(" — Documentation Index\n")).alias("text"))
+    return heads.unionByName(groups)
+
+
 SECTIONS = ("added", "modified", "renamed", "removed")
 
 

@@ -13,11 +13,11 @@ from docstrata.functions import fences, links
 from docstrata.functions import text as X
 from docstrata.functions.assets import AssetRules, rewrite
 from docstrata.functions.text import content_hash
-from docstrata.operators import discovery, lifecycle, refresh, stubs
+from docstrata.operators import discovery, lifecycle, refresh, reports, stubs
 from docstrata.operators.snapshots import last_snapshots
-from docstrata.plans.reference import _SLUG, _SNAPS
+from docstrata.plans.reference import _ESC, _SLUG, _SNAPS
 from docstrata.runtime import small, staged, table
-from docstrata.sources import listings, manifests
+from docstrata.sources import fetch, listings, manifests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -310,3 +310,44 @@ def manifests_read(spark, d):
     texts = new.where("source_url is not null").groupBy("source").agg(F.to_json(F.struct(F.lit("1").alias("version"), F.map_from_entries(F.collect_list(F.struct("slug", entry))).alias("files"))).alias("value"))
     entries, _ = manifests.read_manifests(texts)
     return entries.select("source", "slug", "title", "source_url", "hash")
+
+
+# --- fetching
+
+@query("""WITH p AS (SELECT DISTINCT slug, length(slug) % 6 AS n FROM pages)
+  SELECT slug, CASE n WHEN 2 THEN 'HTTP 404' WHEN 3 THEN 'HTTP 503' WHEN 4 THEN 'ConnectionError: reset' WHEN 5 THEN 'body over the size limit' END AS error, CAST(CASE n WHEN 1 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 3 ELSE 1 END AS INT) AS attempts, CASE n WHEN 0 THEN 'é ' || slug WHEN 1 THEN 'ü ' || slug END AS text FROM p""")
+def fetch_outcomes(spark, d):
+    """Addresses of which some answer at once, some at the second attempt and in another charset, some never, some with too much."""
+    pages = table(spark, d, "pages").select("slug").distinct()
+    policy = fetch.Policy(delay=0.0, most_bytes=1000)
+
+    def connect():
+        seen: dict[str, int] = {}
+
+        def get(url: str) -> fetch.Reply:
+            n, slug = len(url) % 6, url
+            seen[url] = seen.get(url, 0) + 1
+            if n == 0:
+                return fetch.Reply(200, f"\ufeffé {slug}".encode())
+            if n == 1:
+                return fetch.Reply(429, headers={"Retry-After": "0"}) if seen[url] == 1 else fetch.Reply(200, f"ü {slug}".encode("latin-1"), {"Content-Type": "text/plain; charset=ISO-8859-1"})
+            if n == 4:
+                raise ConnectionError("reset")
+            return fetch.Reply(404) if n == 2 else fetch.Reply(503) if n == 3 else fetch.Reply(200, b"x" * 1001)
+
+        return get
+
+    return fetch.fetched(pages, "slug", connect, policy).select("slug", "error", "attempts", "text")
+
+
+_TITLE = "coalesce(s.title, s.source)"
+
+
+@query(f"""{_SNAPS}, g AS (SELECT source, coalesce(nullif(trim(page_group), ''), 'Documentation') AS page_group, slug, coalesce(title, '') AS title, coalesce(source_url, '') AS url FROM new),
+  l AS (SELECT source, page_group, dense_rank() OVER (PARTITION BY source ORDER BY page_group <> 'root', page_group) AS group_pos, slug, '| ' || {_ESC} || ' | [' || slug || '.md](./' || slug || '.md) | [source](<' || replace(replace(replace(replace(replace(url, '<', '%3C'), '>', '%3E'), chr(10), '%0A'), chr(13), '%0D'), '|', '%7C') || '>) |' AS line FROM g)
+  SELECT s.source, 0 AS group_pos, '# ' || {_TITLE} || ' — Documentation Index' || chr(10) AS text FROM doc_sources s WHERE s.source IN (SELECT source FROM new)
+  UNION ALL SELECT l.source, group_pos, '## ' || CASE WHEN page_group = 'root' THEN any_value({_TITLE}) ELSE trim(regexp_replace(page_group, '\s+', ' ', 'g')) END || chr(10) || chr(10) || '| Page | Local | Source |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(line, chr(10) ORDER BY slug) || chr(10) FROM l JOIN doc_sources s ON l.source = s.source GROUP BY l.source, group_pos, page_group""")
+def index_documents(spark, d):
+    """The index of every source as parts in order, from its last snapshot."""
+    _, new = last_snapshots(table(spark, d, "manifest_files"), table(spark, d, "mirror_runs"))
+    return reports.index_parts(new, table(spark, d, "doc_sources"))

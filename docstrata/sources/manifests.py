@@ -5,14 +5,16 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata.functions.canonical import stripped
 from docstrata.functions.urls import slug_violation
+from docstrata.runtime import staged
 
 ENTRY = "slug: string, title: string, group: string, source_url: string, source_md_url: string, source_id: string, hash: string, last_updated: string"
 SCHEMA = f"struct<version: string, last_updated: string, files: map<string, struct<{ENTRY}>>, fetch_metadata: struct<last_fetch_completed: string, fetch_duration_seconds: double, total_pages_discovered: int, total_pages_fetched: int, total_pages_failed: int, failed_pages: array<string>>>"
@@ -78,11 +80,44 @@ def manifest_json(entries: Iterable[dict], version: str, updated: str) -> str:
     return json.dumps({"version": version, "last_updated": updated, "files": files}, indent=2, ensure_ascii=False) + "\n"
 
 
-def write_pages(pages: DataFrame, root: str) -> None:
-    """Exports (slug, text) as files below a folder that every executor sees; partitions write their own rows."""
+def write_pages(pages: DataFrame, gone: DataFrame, root: str) -> DataFrame:
+    """(slug, outcome) of an export of pages as files below a folder that every executor sees; tasks write their own rows.
 
-    def write(rows) -> None:
-        for r in rows:
-            replace_file(Path(root) / f"{r.slug}.md", r.text)
+    pages has (slug, text, is_written): a page is written when it is new or changed, and when its file is missing; else it
+    is kept. Files of gone (slug) are deleted. Slugs that could lead out of the folder are refused. Run prune_empty after it.
+    """
 
-    pages.select("slug", "text").where(slug_violation(F.col("slug")).isNull()).foreachPartition(write)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = Path(root.removeprefix("file://"))
+        for rows in batches:
+            done = []
+            for slug, text, wanted, fault, goes in zip(rows["slug"], rows["text"], rows["is_written"], rows["fault"], rows["goes"], strict=True):
+                path = base / f"{slug}.md"
+                if fault is not None:
+                    done.append("refused")
+                elif goes:
+                    done.append("deleted" if path.exists() else "absent")
+                    path.unlink(missing_ok=True)
+                elif wanted or not path.exists():
+                    done.append("written" if wanted else "restored")
+                    replace_file(path, text or "")
+                else:
+                    done.append("kept")
+            yield pd.DataFrame({"slug": rows["slug"], "outcome": done})
+
+    some = pages.select("slug", "text", F.coalesce("is_written", F.lit(True)).alias("is_written"), F.lit(False).alias("goes"))
+    left = gone.join(pages.select("slug"), "slug", "left_anti").select("slug", F.lit(None).cast("string").alias("text"), F.lit(False).alias("is_written"), F.lit(True).alias("goes"))
+    rows = some.unionByName(left).where("slug is not null").withColumn("fault", slug_violation(F.col("slug")))
+    return staged(rows.mapInPandas(run, "slug string, outcome string"), "export")
+
+
+def prune_empty(root: str) -> list[str]:
+    """Removes the folders below root in which nothing is left, deepest first; root itself stays. The names of those removed."""
+    base = Path(root.removeprefix("file://"))
+    gone = []
+    for at, _, _ in os.walk(base, topdown=False):
+        here = Path(at)
+        if here != base and not any(here.iterdir()):
+            here.rmdir()
+            gone.append(str(here.relative_to(base)))
+    return gone

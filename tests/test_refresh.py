@@ -107,7 +107,8 @@ def test_manifests(spark, rows, tmp_path):
     assert rows(entries, "source", "slug") == [("ok", "a/b")]
     assert rows(states, "source", "has_baseline") == [("hash", False), ("key", False), ("list", False), ("ok", True), ("slug", False)]
     manifests.replace_file(tmp_path / "d" / "x.md", "text")
-    manifests.write_pages(spark.createDataFrame([("p/q", "# P"), ("../no", "x")], "slug string, text string"), str(tmp_path / "d"))
+    made = spark.createDataFrame([("p/q", "# P", True), ("../no", "x", True)], "slug string, text string, is_written boolean")
+    manifests.write_pages(made, made.select("slug").where("false"), str(tmp_path / "d"))
     assert rows(manifests.corpus(spark, str(tmp_path / "d"))) == [("p/q.md", "# P"), ("x.md", "text")]
 
 
