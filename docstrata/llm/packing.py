@@ -157,10 +157,11 @@ def packed(docs: DataFrame, key: str, text: str, capacities: Iterable[tuple[int,
         raise ValueError("a capacity is at least 1")
     if not windows:
         return spark.createDataFrame([], "window_id long, container long").join(docs.select(key), F.lit(False)).select("window_id", "container", key, F.lit(0).cast("long").alias("piece"), F.lit(0).cast("long").alias("tokens"))
-    sized = staged(with_tokens(docs.select(key, text), text, tokenizer).select(key, "tokens").where("tokens > 0"), "tokens")
+    # numbered once, so that rows of one key are spread as well
+    sized = staged(with_tokens(docs.select(key, text), text, tokenizer).select(key, "tokens", F.monotonically_increasing_id().alias("__row")).where("tokens > 0"), "tokens")
     caps = F.array(*(F.struct(F.lit(w).cast("long").alias("window_id"), F.lit(c).cast("long").alias("capacity")) for w, c in windows))
-    pieces = sized.select(key, "tokens", F.inline(caps)).select("window_id", key, "capacity", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("tokens") / F.col("capacity")) - 1)).alias("piece"))
-    pieces = pieces.select("window_id", "capacity", key, "piece", F.least(F.col("capacity"), F.col("tokens") - F.col("piece") * F.col("capacity")).alias("tokens"))
+    pieces = sized.select(key, "__row", "tokens", F.inline(caps)).select("window_id", key, "__row", "capacity", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("tokens") / F.col("capacity")) - 1)).alias("piece"))
+    pieces = pieces.select("window_id", "capacity", key, "__row", "piece", F.least(F.col("capacity"), F.col("tokens") - F.col("piece") * F.col("capacity")).alias("tokens"))
 
     histogram = pieces.groupBy("window_id", "capacity", "tokens").count()
     plan = staged(histogram.groupBy("window_id").applyInPandas(lambda histogram: planned(histogram, buckets), PLAN), "plans")
@@ -168,12 +169,12 @@ def packed(docs: DataFrame, key: str, text: str, capacities: Iterable[tuple[int,
     bucket_of = small(plan.where("tokens is not null").select("window_id", "tokens", "bound"))
     slots = small(plan.where("tokens is null").select("window_id", "bound", "firsts", "repeats", "bases"))
 
-    items = pieces.drop("capacity").join(bucket_of, ["window_id", "tokens"]).withColumn("part", F.pmod(F.xxhash64(key, "piece"), F.lit(parts)))
+    items = pieces.drop("capacity").join(bucket_of, ["window_id", "tokens"]).withColumn("part", F.pmod(F.xxhash64(key, "__row", "piece"), F.lit(parts)))
     group = ["window_id", "bound", "part"]
     sums = items.groupBy(*group).count()
     before = Window.partitionBy("window_id", "bound").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    ranked = items.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(key, "piece")) - 1).join(small(offsets), group)
+    ranked = items.withColumn("n", F.row_number().over(Window.partitionBy(*group).orderBy(key, "__row", "piece")) - 1).join(small(offsets), group)
     ranked = ranked.withColumn("rank", F.col("offset") + F.col("n")).join(slots, ["window_id", "bound"])
     ranked = ranked.withColumn("slot", at_or_before(F.col("firsts"), F.col("rank")) - 1)
     of_slot = lambda c: F.get(c, F.col("slot"))
