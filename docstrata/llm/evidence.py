@@ -33,7 +33,7 @@ ERROR = (
     (("timeout", "timed"), r"\b(?:connection|gateway|request|read|server|operation) timeout\b|\btimed out\b"),
     (("gateway", "upstream"), r"\b(?:bad gateway|gateway (?:timeout|error)|(?:gateway|upstream) (?:said|gave|did|returned|failed))\b"),
     (("respond", "answer", "response"), r"\b(?:not|n't|no|any) (?:respond|answer|response)\b"),
-    (("unable", "cannot", "couldn", "failed", "impossible"), r"\b(?:unable to|cannot|couldn't|failed to|impossible de) (?:be )?(?:connect|reach|reached|load|loaded|open|process|complete|resolve|display|displayed|establish|charger|afficher)\b"),
+    (("unable", "cannot", "couldn", "failed", "impossible"), r"(?:^|[:,] |\b(?:we|was|were|is|are|page|site|server|it|video|content) )(?:unable to|cannot|could not|couldn't|failed to|impossible de) (?:be )?(?:connect|reach|reached|load|loaded|open|process|complete|resolve|display|displayed|establish|charger|afficher)\b"),
     (("establishing", "interrupted", "reset"), r"\bconnection\b.*\b(?:reset|interrupted|closed|lost)\b"),
     (("wrong", "broke", "broken", "schiefgelaufen"), r"\b(?:something|anything|etwas) (?:has |have |ist )?(?:gone |went )?(?:wrong|broke|broken|schiefgelaufen)\b"),
     (("working", "work"), r"\b(?:page|site|service)\b.*\b(?:isn't|is not|not) working\b"),
@@ -105,7 +105,7 @@ FUNCTION = frozenset(
 SITE = frozenset("page pages site website web app application browser server service network host address account database viewer seite sitio página aplicación navegador servicio page application navigateur serveur".split())
 #: What an explanation has.
 _EXPLAINS = re.compile(r"\b(?:means?|meaning|such as|for example|which|whose|explains?|explained|describes|described|is (?:shown|used|called)|always|the word|bedeutet|zum beispiel|welche\w?|erklärt|significa|por ejemplo|signifie|par exemple|ce qui)\b")
-_REASON = re.compile(r"\b(?:because|since|when|if the|so that|weil|denn|wenn|porque|cuando|parce que|quand)\b")
+_REASON = re.compile(r"\b(?:because|since|when|as long as|although|even though|unless|if the|so that|weil|denn|wenn|porque|cuando|parce que|quand)\b")
 _ADDRESS = re.compile(r"\b(?:you|your|we|our|sie|ihr|ihre|usted|su|vous|votre|nous)\b")
 _MENTION = re.compile(r"\"[^\"]*\"|“[^”]*”|«[^»]*»|„[^“”]*[“”]|`[^`]*`")
 _QUOTES = re.compile("[\"`“«„]")
@@ -172,8 +172,12 @@ def judged(sentence: str, marked: bool = False) -> int:
                     best = max(best, kind)
                     covered.update(_WORD.findall(m[0]))
                     covered.add(w)
-    if best == CONTENT:
-        return EVIDENCE if repeats(words) or mock(words, marked or not MOCK_MARKS.isdisjoint(words)) else CONTENT
     often = {w for w, n in Counter(words).items() if n >= 3}
+    if best == CONTENT:
+        if repeats(words) or mock(words, marked or not MOCK_MARKS.isdisjoint(words)):
+            return EVIDENCE
+        # words over and over, and then a sentence without anything between
+        ends = [s.rfind(w) + len(w) for w in often - FUNCTION]
+        return EVIDENCE if ends and repeats(words_of(s[: max(ends)])) and judged(s[max(ends) :].lstrip(_CRUMB + "0123456789"), marked) != CONTENT else CONTENT
     foreign = sum(w not in covered and w not in FUNCTION and w not in SITE and w not in often for w in words)
     return best if foreign <= 3 or foreign <= 0.4 * len(words) else CONTENT

@@ -21,8 +21,8 @@ def test_no_slots(text):
     assert not R.is_residue(text + "\n\nA sentence that stays as it is, with words.")
 
 
-MESSAGES = ["404 - This page could not be found. Check the address or go back to the start.", "# Title\n\nAccess denied. Reference 0a1b2c3d4e", "<html><head><title>x</title></head><body><p>Please enable JavaScript to continue.</p></body></html>", "<noscript>Loading... (requires JS)</noscript><div id='root'></div>", "Internal error: handler x raised a KeyError\n  at line 4\n  at line 8\nrequest abc123def0", "TBD. TBD. TBD.", "## A\n\nComing soon.\n\n## B\n\n(content pending)", "Lorem ipsum dolum amerit. Vandor trigo cundit.", "ZUGRIFF VERWEIGERT. VORGANG 0A1B2C3D4E", "Veuillez activer JavaScript pour lire cette page.", "Title\n=====\n\nTo do: write this page."]
-CONTENT = ['A message such as "Access denied" in the log means that the token has run out.', "Error 404 is shown when a page is missing, which the next section explains in detail.\n\nMore text follows here.", "# Only a heading", "", "   ", "Nothing on this page says \"coming soon\", since each section is finished."]
+MESSAGES = ["404 - This page could not be found. Check the address or go back to the start.", "# Title\n\nAccess denied. Reference 0a1b2c3d4e", "<html><head><title>x</title></head><body><p>Please enable JavaScript to continue.</p></body></html>", "<noscript>Loading... (requires JS)</noscript><div id='root'></div>", "Internal error: handler x raised a KeyError\n  at line 4\n  at line 8\nrequest abc123def0", "TBD. TBD. TBD.", "## A\n\nComing soon.\n\n## B\n\n(content pending)", "Lorem ipsum dolum amerit. Vandor trigo cundit.", "ZUGRIFF VERWEIGERT. VORGANG 0A1B2C3D4E", "Veuillez activer JavaScript pour lire cette page.", "Title\n=====\n\nTo do: write this page.", "blah blah blah blah To do: write this page.", "xxx xxx xxx index xxx Coming soon."]
+CONTENT = ['A message such as "Access denied" in the log means that the token has run out.', "Error 404 is shown when a page is missing, which the next section explains in detail.\n\nMore text follows here.", "# Only a heading", "", "   ", "blah blah blah blah The mirror keeps three copies.", "As long as the map is old, its readers cannot load the list.", "Nothing on this page says \"coming soon\", since each section is finished."]
 
 
 @pytest.mark.parametrize("text", MESSAGES)
