@@ -346,7 +346,7 @@ _TITLE = "coalesce(s.title, s.source)"
 @query(f"""{_SNAPS}, g AS (SELECT source, coalesce(nullif(trim(page_group), ''), 'Documentation') AS page_group, slug, coalesce(title, '') AS title, coalesce(source_url, '') AS url FROM new),
   l AS (SELECT source, page_group, dense_rank() OVER (PARTITION BY source ORDER BY page_group <> 'root', page_group) AS group_pos, slug, '| ' || {_ESC} || ' | [' || slug || '.md](./' || slug || '.md) | [source](<' || replace(replace(replace(replace(replace(url, '<', '%3C'), '>', '%3E'), chr(10), '%0A'), chr(13), '%0D'), '|', '%7C') || '>) |' AS line FROM g)
   SELECT s.source, 0 AS group_pos, '# ' || {_TITLE} || ' — Documentation Index' || chr(10) AS text FROM doc_sources s WHERE s.source IN (SELECT source FROM new)
-  UNION ALL SELECT l.source, group_pos, '## ' || CASE WHEN page_group = 'root' THEN any_value({_TITLE}) ELSE trim(regexp_replace(page_group, '\s+', ' ', 'g')) END || chr(10) || chr(10) || '| Page | Local | Source |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(line, chr(10) ORDER BY slug) || chr(10) FROM l JOIN doc_sources s ON l.source = s.source GROUP BY l.source, group_pos, page_group""")
+  UNION ALL SELECT l.source, group_pos, '## ' || CASE WHEN page_group = 'root' THEN any_value({_TITLE}) ELSE trim(regexp_replace(page_group, '\\s+', ' ', 'g')) END || chr(10) || chr(10) || '| Page | Local | Source |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(line, chr(10) ORDER BY slug) || chr(10) FROM l JOIN doc_sources s ON l.source = s.source GROUP BY l.source, group_pos, page_group""")
 def index_documents(spark, d):
     """The index of every source as parts in order, from its last snapshot."""
     _, new = last_snapshots(table(spark, d, "manifest_files"), table(spark, d, "mirror_runs"))
