@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docstrata.functions.canonical import digest, instant
-from docstrata.operators.snapshots import successful_runs
+from docstrata.operators.snapshots import LISTED_RUNS, successful_runs
 from docstrata.runtime import filesystem, small, staged
 
 PENDING, LEASED, DONE = "pending", "leased", "done"
@@ -261,7 +261,9 @@ class ChangeFeed:
         waves = {str(r[1]): n for _, _, todo in backlog for n, r in enumerate(todo, 1)}
         ready = lambda i: i in waves and (i not in before or ledger.state(before[i]) == DONE)
         while lease := ledger.lease(len(waves), self.seconds, ready):
-            mine = batches.where(F.col("wave").isin(sorted({waves[i] for i in lease.items}))).join(F.broadcast(self.spark.createDataFrame([(int(i),) for i in lease.items], "run_id long")), "run_id")
+            mine = batches.where(F.col("wave").isin(sorted({waves[i] for i in lease.items})))
+            leased = [int(i) for i in lease.items]
+            mine = mine.where(F.col("run_id").isin(leased)) if len(leased) <= LISTED_RUNS else mine.join(small(self.spark.createDataFrame([(i,) for i in leased], "run_id long")), "run_id")
             ledger.process(lease, self.changed(mine))
             if len(set(ledger.published()) - ledger._covered) >= MERGE_EVERY:
                 ledger.merge(lease.token, _newest, STANDING)
@@ -269,8 +271,9 @@ class ChangeFeed:
 
     def changed(self, batch: DataFrame) -> DataFrame:
         """The rows of a batch that become the standing entry of their page, is_due where the digest is another. Of the standing table only the pages of the batch take part."""
-        keys = small(batch.select("source", "slug"))
-        standing = self.ledger.merged(STANDING).join(keys, ["source", "slug"], "left_semi")
+        standing = self.ledger.merged(STANDING)
+        if self.ledger.published():
+            standing = standing.join(small(batch.select("source", "slug")), ["source", "slug"], "left_semi")
         entry = F.struct("updated", "entry_id", "digest")
         both = batch.select("source", "slug", "run_id", entry.alias("new"), F.lit(None).cast("struct<updated: timestamp, entry_id: long, digest: binary>").alias("old"))
         both = both.unionByName(standing.select("source", "slug", F.lit(None).cast("long").alias("run_id"), F.lit(None).cast("struct<updated: timestamp, entry_id: long, digest: binary>").alias("new"), entry.alias("old")))
