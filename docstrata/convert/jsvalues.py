@@ -6,6 +6,8 @@ import re
 from collections.abc import Mapping
 
 WRAPPERS = 8
+#: Levels of nesting that are read; a level takes up to three calls of the interpreter's thousand.
+MOST_DEEP = 200
 _SPACE = re.compile(r"(?:\s+|//[^\n]*|/\*(?:[^*]|\*(?!/))*\*/)*")
 _NUMBER = re.compile(r"-?\d+(?:\.\d+)?")
 _NAME = re.compile(r"[A-Za-z_$][\w$]*")
@@ -62,7 +64,7 @@ class Reader:
 
     def value(self, at: int, resolving: frozenset[str] = frozenset(), depth: int = 0) -> tuple[object, int]:
         at = self._skip(at)
-        if depth > 60 or at >= len(self.text):
+        if depth > MOST_DEEP or at >= len(self.text):
             raise Unreadable(at)
         sign = self.text[at]
         if sign in "\"'`":

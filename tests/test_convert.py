@@ -83,3 +83,14 @@ def timed(page):
     began = time.process_time()
     html_to_markdown(page)
     return time.process_time() - began
+
+
+def test_deep_values_are_read():
+    from docstrata.convert.jsvalues import Unreadable, literal
+
+    value = literal("[" * 190 + "1" + "]" * 190)
+    for _ in range(190):
+        (value,) = value
+    assert value == 1
+    with pytest.raises(Unreadable):
+        literal("[" * 5000 + "]" * 5000)
